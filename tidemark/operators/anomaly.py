@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import bin_label, clip, count_where, holds, percent
-from tidemark.operators.statistics import scalar_quantiles, scalar_stats
+from tidemark.operators.quantiles import quantiles
+from tidemark.operators.statistics import attach_stats, scalar_quantiles, scalar_stats
 
 RISK_EDGES = (0, 40, 70, 100)
 RISK_LABELS = ("Low", "Medium", "High")
@@ -25,23 +26,23 @@ def standard_scale(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     for i, source in enumerate(columns.values()):
         aggregates[f"mean{i}"] = F.avg(source)
         aggregates[f"sd{i}"] = F.stddev_pop(source)
-    s = scalar_stats(df, **aggregates)
-    return df.withColumns(
+    s = F.col("_s")
+    return attach_stats(df, "_s", **aggregates).withColumns(
         {
             name: (F.col(source) - s[f"mean{i}"]) / F.when(s[f"sd{i}"] == 0, 1.0).otherwise(s[f"sd{i}"])
             for i, (name, source) in enumerate(columns.items())
         }
-    )
+    ).drop("_s")
 
 
 def flag_zscore(
     df: DataFrame, column: str = "Amount_log_scaled", threshold: float = 2.5, out: str = "zscore_flag"
 ) -> DataFrame:
     """Flag values more than ``threshold`` population SDs from the mean; missing counts as 0."""
-    x = F.coalesce(F.col(column), F.lit(0.0))
-    s = scalar_stats(df, mean=F.avg(x), sd=F.stddev_pop(x))
+    x, s = F.coalesce(F.col(column), F.lit(0.0)), F.col("_s")
     # |x - mean| > t * sd instead of a division; with sd = 0 nothing is flagged.
-    return df.withColumn(out, holds((s["sd"] > 0) & (F.abs(x - s["mean"]) > s["sd"] * threshold)))
+    beyond = holds((s["sd"] > 0) & (F.abs(x - s["mean"]) > s["sd"] * threshold))
+    return attach_stats(df, "_s", mean=F.avg(x), sd=F.stddev_pop(x)).withColumn(out, beyond).drop("_s")
 
 
 def flag_percentile(
@@ -53,26 +54,36 @@ def flag_percentile(
     return df.withColumn(out, holds(F.col(column) > cut))
 
 
-def fences(df: DataFrame, column: str, k: float = 1.5, method: str = "auto") -> dict[str, Column]:
-    """Quartiles and the fences k interquartile ranges outside them, as scalars."""
-    q = scalar_quantiles(df, column, [0.25, 0.75], method=method)
-    spread = (q[1] - q[0]) * k
-    return {"q1": q[0], "q3": q[1], "lower": q[0] - spread, "upper": q[1] + spread}
+FENCES = ("q1", "q3", "lower", "upper")
+
+
+def with_fences(df: DataFrame, column: str, k: float = 1.5, method: str = "auto") -> DataFrame:
+    """Add a struct column ``fences``: quartiles and the bounds k interquartile ranges outside them."""
+    spread = (F.col("q3") - F.col("q1")) * k
+    table = quantiles(df, column, [0.25, 0.75], names=["q1", "q3"], method=method).select(
+        F.struct("q1", "q3", (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper")).alias("f")
+    )
+    return df.withColumn("fences", table.scalar())
+
+
+def beyond_fences(column: str) -> Column:
+    return (F.col(column) < F.col("fences.lower")) | (F.col(column) > F.col("fences.upper"))
 
 
 def fence_outliers(df: DataFrame, column: str, k: float = 1.5, method: str = "auto") -> DataFrame:
     """The rows beyond the fences."""
-    f = fences(df, column, k, method)
-    return df.filter((F.col(column) < f["lower"]) | (F.col(column) > f["upper"]))
+    return with_fences(df, column, k, method).filter(beyond_fences(column)).drop("fences")
 
 
 def fence_summary(df: DataFrame, column: str, k: float = 1.5, method: str = "auto") -> DataFrame:
     """One row: quartiles, fences, number and share of outliers."""
-    f = fences(df, column, k, method)
-    beyond = (F.col(column) < f["lower"]) | (F.col(column) > f["upper"])
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), count_where(beyond).alias("outliers"))
+    counts = with_fences(df, column, k, method).agg(
+        F.any_value("fences").alias("fences"),
+        F.count(F.lit(1)).alias("rows"),
+        count_where(beyond_fences(column)).alias("outliers"),
+    )
     return counts.select(
-        *[f[n].alias(n) for n in ("q1", "q3", "lower", "upper")],
+        *[F.col(f"fences.{n}").alias(n) for n in FENCES],
         "rows",
         "outliers",
         percent(F.col("outliers"), F.col("rows")).alias("outlier_pct"),
@@ -83,12 +94,11 @@ def fence_summary_by(
     df: DataFrame, column: str, key: str, k: float = 1.5, method: str = "auto"
 ) -> DataFrame:
     """Share of whole-table fence outliers per value of ``key`` (e.g. per pick-up zone)."""
-    f = fences(df, column, k, method)
-    beyond = (F.col(column) < f["lower"]) | (F.col(column) > f["upper"])
     return (
-        df.filter(F.col(key).isNotNull())
+        with_fences(df, column, k, method)
+        .filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"), count_where(beyond).alias("outliers"))
+        .agg(F.count(F.lit(1)).alias("rows"), count_where(beyond_fences(column)).alias("outliers"))
         .withColumn("outlier_pct", percent(F.col("outliers"), F.col("rows")))
     )
 
@@ -209,7 +219,7 @@ def risk_score(
     df: DataFrame,
     components: Sequence[Component] = CARD_COMPONENTS,
     out: str = "risk_score",
-    statistics: Mapping[str, float | Column] | None = None,
+    statistics: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """Add a 0-100 score: the sum of its components, each over whole-column statistics.
 
@@ -219,14 +229,14 @@ def risk_score(
     present = _present(df, components)
     if statistics is None:
         table = score_statistics(df, present)
-        row = table.select(F.struct(*table.columns).alias("s")).scalar()
-        lookup = {name: row[name] for name in table.columns}
+        df = df.withColumn("_s", table.select(F.struct(*table.columns)).scalar())
+        lookup = {name: F.col("_s")[name] for name in table.columns}
     else:
-        lookup = {n: v if isinstance(v, Column) else F.lit(v) for n, v in statistics.items()}
+        lookup = {n: F.lit(v) for n, v in statistics.items()}
     score = F.lit(0.0)
     for c in present:
         score = score + c.score({stat: lookup[f"{c.column}_{stat}"] for stat in c.stats()})
-    return df.withColumn(out, clip(score, 0.0, 100.0))
+    return df.withColumn(out, clip(score, 0.0, 100.0)).drop("_s")
 
 
 def risk_level(df: DataFrame, score: str = "risk_score", out: str = "risk_level") -> DataFrame:

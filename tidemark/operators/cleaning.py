@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import count_where, holds, parse_timestamp, strip
-from tidemark.operators.statistics import melt, scalar_quantiles, scalar_stats
+from tidemark.operators.statistics import melt, scalar_quantiles
 
 
 # -- columns ---------------------------------------------------------------------------------------
@@ -126,25 +126,26 @@ def parse_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str], m
     and texts the chosen format cannot read become NULL. The choice is a one-row aggregate over all
     columns and formats inside the plan.
     """
-    counts = {"rows": F.count(F.lit(1))}
+    counts = [F.count(F.lit(1)).alias("rows")]
     for k, column in enumerate(columns):
-        for i, fmt in enumerate(formats):
-            counts[f"f{k}_{i}"] = F.count_if(parse_timestamp(F.col(f"`{column}`"), fmt).isNull())
-    s = scalar_stats(df, **counts)
+        tries = [F.count_if(parse_timestamp(F.col(f"`{column}`"), fmt).isNull()) for fmt in formats]
+        counts.append(F.array(*tries).alias(f"failures_{k}"))
+    choices = []
+    for k in range(len(columns)):
+        failures = F.col(f"failures_{k}")
+        passed = F.transform(failures, lambda f: f < F.col("rows") * F.lit(max_failure))
+        first_good = F.array_position(passed, True)
+        fewest = F.array_position(failures, F.array_min(failures))
+        choices.append(F.when(first_good > 0, first_good).otherwise(fewest).cast("int"))
+    chosen = df.agg(*counts).select(F.array(*choices).alias("c")).scalar()
     parsed = {}
     for k, column in enumerate(columns):
-        choice = None
-        for i in range(len(formats)):
-            good = s[f"f{k}_{i}"] < s["rows"] * F.lit(max_failure)
-            choice = F.when(good, F.lit(i)) if choice is None else choice.when(good, F.lit(i))
-        failures = F.array(*[s[f"f{k}_{i}"] for i in range(len(formats))])
-        choice = choice.otherwise(F.array_position(failures, F.array_min(failures)).cast("int") - 1)
         value = None
-        for i, fmt in enumerate(formats):
-            attempt = parse_timestamp(F.col(f"`{column}`"), fmt)
-            value = F.when(choice == i, attempt) if value is None else value.when(choice == i, attempt)
+        for i, fmt in enumerate(formats, start=1):
+            hit, attempt = F.col("_chosen")[k] == i, parse_timestamp(F.col(f"`{column}`"), fmt)
+            value = F.when(hit, attempt) if value is None else value.when(hit, attempt)
         parsed[column] = value
-    return df.withColumns(parsed)
+    return df.withColumn("_chosen", chosen).withColumns(parsed).drop("_chosen")
 
 
 def conversion_failures(df: DataFrame, parsers: Mapping[str, Column]) -> DataFrame:
@@ -196,9 +197,9 @@ def out_of_range(df: DataFrame, limits: Mapping[str, tuple[float, float]]) -> Da
 
 def tail_counts(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, method: str = "auto") -> DataFrame:
     """One row: the two percentile cut-offs of a column and the rows beyond each."""
-    q = scalar_quantiles(df, column, [low, high], method=method)
-    c = F.col(f"`{column}`")
-    return df.agg(
+    q, c = F.col("_q"), F.col(f"`{column}`")
+    return df.withColumn("_q", scalar_quantiles(df, column, [low, high], method=method)).agg(
+        F.any_value("_q").alias("_q"),
         count_where(c < q[0]).alias("below"),
         count_where(c > q[1]).alias("above"),
     ).select(q[0].alias("low_cut"), q[1].alias("high_cut"), "below", "above", (F.col("below") + F.col("above")).alias("extreme"))

@@ -38,9 +38,10 @@ def average_sales(df: DataFrame, period: str = PERIOD, sales: str = "Sales", met
         .agg(F.round(F.avg(sales), 2).alias("avg_sales"), F.round(F.stddev_samp(sales), 2).alias("std_sales"))
     )
     medians = quantiles(df, sales, [0.5], by=[period], names=["median"], method=method, bounded_groups=True)
-    # Both sides hold one row per calendar period.
+    # Both sides hold one row per calendar period. A median of cents often ends in half a cent: rounding in
+    # two steps keeps the noise of its interpolation from deciding the direction.
     return moments.join(F.broadcast(medians), period, "left").select(
-        period, "avg_sales", F.round("median", 2).alias("median_sales"), "std_sales"
+        period, "avg_sales", F.round(F.round("median", 6), 2).alias("median_sales"), "std_sales"
     )
 
 

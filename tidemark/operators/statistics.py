@@ -17,10 +17,19 @@ from tidemark.operators.quantiles import is_small, quantiles
 
 
 def scalar_stats(df: DataFrame, **aggregates: Column) -> Column:
-    """All aggregates of ``df`` in one struct-valued scalar; read one with ``result["name"]``."""
+    """All aggregates of ``df`` in one struct-valued scalar; read one with ``result["name"]``.
+
+    Every use of the result is planned as a subquery of its own (and only then found to be the same), so
+    a result used more than once is better put into a column first, see ``attach_stats``.
+    """
     return df.agg(F.struct(*[c.alias(n) for n, c in aggregates.items()]).alias("s")).scalar()
 
 
+def attach_stats(df: DataFrame, name: str = "_s", source: DataFrame | None = None, **aggregates: Column) -> DataFrame:
+    """Add the statistics of ``source`` (default: ``df`` itself) as one struct column; drop it after use."""
+    return df.withColumn(name, scalar_stats(df if source is None else source, **aggregates))
+
+
 def scalar_quantiles(df: DataFrame, value: str, fractions: Sequence[float], **options) -> Column:
     """Quantiles as an array-valued scalar, in the order of ``fractions``."""
     names = [f"q{i}" for i in range(len(fractions))]
@@ -87,7 +96,8 @@ def summary_values(df: DataFrame, column: str, quantile_fractions: Sequence[floa
     if not quantile_fractions:
         return base
     q = scalar_quantiles(df, column, quantile_fractions, **options)
-    return base.withColumns({f"q{int(round(f * 100)):02d}": q[i] for i, f in enumerate(quantile_fractions)})
+    names = {f"q{int(round(f * 100)):02d}": F.col("_q")[i] for i, f in enumerate(quantile_fractions)}
+    return base.withColumn("_q", q).withColumns(names).drop("_q")
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
@@ -151,13 +161,13 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram from minimum to maximum; the last bin is closed, empty bins are kept."""
     data = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    r = scalar_stats(data, lo=F.min("v"), hi=F.max("v"))
-    flat = r["hi"] == r["lo"]
-    lo = F.when(flat, r["lo"] - 0.5).otherwise(r["lo"])
-    hi = F.when(flat, r["hi"] + 0.5).otherwise(r["hi"])
+    # A constant column gets one unit of width around its value.
+    half = F.when(F.max("v") == F.min("v"), 0.5).otherwise(0.0)
+    limits = scalar_stats(data, lo=F.min("v") - half, hi=F.max("v") + half)
+    lo, hi = F.col("_r.lo"), F.col("_r.hi")
     index = F.least(F.lit(bins - 1), F.floor((F.col("v") - lo) / (hi - lo) * bins)).cast("int")
-    counts = data.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
-    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    counts = data.withColumn("_r", limits).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).withColumn("_r", limits)
     width = (hi - lo) / bins
     return spine.join(F.broadcast(counts), "bin", "left").select(
         "bin",
@@ -170,10 +180,11 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def box_plot(df: DataFrame, column: str, whisker: float = 1.5, method: str = "auto") -> DataFrame:
     """Five numbers of a box plot with fences, whiskers inside the fences and the number of fliers."""
     data = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    q = scalar_quantiles(data, "v", [0.25, 0.5, 0.75], method=method)
+    q = F.col("_q")
     reach = (q[2] - q[0]) * whisker
     inside = F.col("v").between(q[0] - reach, q[2] + reach)
-    inner = data.agg(
+    inner = data.withColumn("_q", scalar_quantiles(data, "v", [0.25, 0.5, 0.75], method=method)).agg(
+        F.any_value("_q").alias("_q"),
         F.count("v").alias("n"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),

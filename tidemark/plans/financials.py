@@ -20,6 +20,7 @@ from tidemark.operators.cleaning import (
     out_of_range,
 )
 from tidemark.operators.statistics import completeness
+from tidemark.sources.checkpoints import store
 from tidemark.sources.schemas import FINANCIAL_AMOUNTS
 
 DATE_FORMATS = ("M/d/yyyy", "d/M/yyyy", "yyyy-MM-dd", "dd-MM-yyyy")
@@ -154,8 +155,9 @@ def overview(rows: DataFrame) -> DataFrame:
 
 def results(raw: DataFrame, segments: Sequence[str] = SEGMENTS) -> dict[str, DataFrame]:
     """All result tables of the job by name."""
-    rows = clean(raw)
-    table = checks(rows, raw)
+    # Read by every table below, and de-duplicated at the cost of a shuffle of all columns: written once.
+    rows = store(clean(raw), "financials")
+    table = store(checks(rows, raw), "financial-checks")
     limits = {c: r for c, r in LIMITS.items() if c in rows.columns}
     return {
         "validated_financials": validated(rows),

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import hour_of_elapsed, log_amount
 from tidemark.operators import anomaly
+from tidemark.operators.statistics import histogram
+from tidemark.sources.checkpoints import store
 from tidemark.operators.cleaning import drop_duplicates, drop_missing, duplicate_rows, keep_existing
 
 EXPORT_COLUMNS = (
@@ -24,8 +26,12 @@ EXPORT_COLUMNS = (
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Complete, distinct transactions with log amount, hour of day and standardised columns."""
-    rows = drop_duplicates(drop_missing(raw))
+    """Complete, distinct transactions with log amount, hour of day and standardised columns.
+
+    The distinct rows are written once: the statistics passes and the scoring pass all read them, and
+    de-duplication shuffles the whole table.
+    """
+    rows = store(drop_duplicates(drop_missing(raw)), "transactions")
     rows = rows.withColumns(
         {"Amount_log": log_amount(F.col("Amount")), "Hour": hour_of_elapsed(F.col("Time"))}
     )
@@ -70,9 +76,7 @@ def flagged_export(scored: DataFrame) -> DataFrame:
 
 def results(raw: DataFrame) -> dict[str, DataFrame]:
     """All result tables of the job by name."""
-    scored = score(clean(raw))
-    from tidemark.operators.statistics import histogram
-
+    scored = store(score(clean(raw)), "scored-transactions")
     return {
         "cleaning_summary": cleaning_summary(raw),
         "class_balance": anomaly.class_balance(scored),

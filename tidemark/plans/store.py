@@ -21,6 +21,7 @@ from tidemark.operators.cleaning import (
     tail_counts,
     unexpected_values,
 )
+from tidemark.sources.checkpoints import store as written
 from tidemark.sources.schemas import STORE_DATE_FORMATS
 
 KEYS = ("Order ID", "Product ID")
@@ -97,7 +98,8 @@ def overview(orders: DataFrame) -> DataFrame:
 
 def results(raw: DataFrame, order_by: Sequence[str] | None = None, order: str = "chronological") -> dict[str, DataFrame]:
     """All result tables of the job by name."""
-    orders = clean(raw, order_by)
+    # Read by every table below, and de-duplicated at the cost of a shuffle of all columns: written once.
+    orders = written(clean(raw, order_by), "store-orders")
     months = trends.monthly_totals(orders)
     return {
         "cleaning_summary": cleaning_summary(raw),

@@ -73,7 +73,7 @@ def distinct_counts(spark, folder):
 
 
 def price_summary(spark, folder):
-    return rounded(statistics.summary_values(read_table(spark, folder, "events"), "value", [0.5, 0.99]), 3)
+    return rounded(statistics.summary_values(read_table(spark, folder, "events"), "value", [0.5, 0.99]))
 
 
 def box_plot(spark, folder):
@@ -218,9 +218,9 @@ QUERIES: dict[str, Query] = {
     ),
     "price_summary": Query(
         price_summary,
-        """select count(value) as "count", round(sum(value), 3) as "sum", round(avg(value), 3) as mean, min(value) as "min",
-                  max(value) as "max", round(stddev_samp(value), 3) as std, round(quantile_cont(value, 0.5), 3) as q50,
-                  round(quantile_cont(value, 0.99), 3) as q99 from events""",
+        """select count(value) as "count", round(sum(value), 4) as "sum", round(avg(value), 4) as mean, min(value) as "min",
+                  max(value) as "max", round(stddev_samp(value), 4) as std, round(quantile_cont(value, 0.5), 4) as q50,
+                  round(quantile_cont(value, 0.99), 4) as q99 from events""",
     ),
     "box_plot": Query(
         box_plot,

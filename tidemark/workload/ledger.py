@@ -8,6 +8,7 @@ from tidemark.operators import quality
 from tidemark.operators.cleaning import out_of_range, same_domain, unexpected_values
 from tidemark.plans import financials, ledger
 from tidemark.sources import read_table
+from tidemark.sources.checkpoints import store
 from tidemark.workload import tables as t
 from tidemark.workload.base import Query, rounded
 
@@ -57,7 +58,7 @@ def unknown_vendors(spark, folder):
 
 
 def financial_rows(spark, folder):
-    return financials.clean(t.financials(spark, folder))
+    return store(financials.clean(t.financials(spark, folder)), "financials")
 
 
 def financial_checks(spark, folder):
@@ -124,7 +125,7 @@ REPORT = f"""
     union all {_rule(9, "Major", "9. payment_status in {paid, pending, overdue}", "payment_status = 'unknown'")}
     union all select 10, '10. All columns ≥ 95% non-null', 'Minor',
       (select count(*) from (select unnest([count("date"), count(vendor_id), count(amount), count(created_by)]) as f,
-                                    count(*) as c from r) where f / c::double * 100 < 95), 11, '')
+                                    count(*) as c from r) where f / c::double * 100 < 95), 10, '')
 """
 REPORT_ROWS = REPORT + """
   select rule, severity, case when violations > 0 then 'FAIL' else 'PASS' end as status, violations,

@@ -91,7 +91,7 @@ QUERIES: dict[str, Query] = {
     "kpi_avg_sales": Query(
         kpi_avg_sales,
         """select strftime(o_orderdate, '%b-%Y') as "Month-Year", round(avg(o_totalprice), 2) as avg_sales,
-                  round(quantile_cont(o_totalprice, 0.5), 2) as median_sales, round(stddev_samp(o_totalprice), 2) as std_sales
+                  round(quantile_cont(o_totalprice, 0.5)::decimal(18,6), 2)::double as median_sales, round(stddev_samp(o_totalprice), 2) as std_sales
            from orders group by 1""",
     ),
     "kpi_revenue": Query(
