@@ -13,6 +13,7 @@ from tidemark.functions.parsing import (
     NULL_TOKENS,
     blank_to_null,
     is_iso_date,
+    iso_date,
     parse_amount,
     parse_date,
     parse_number,
@@ -44,6 +45,7 @@ __all__ = [
     "holds",
     "hour_of_elapsed",
     "is_iso_date",
+    "iso_date",
     "log_amount",
     "month_key",
     "month_label",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +34,17 @@ NULL_TOKENS = (
 _DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+# The white-space characters (Unicode category Zs, line and paragraph separators, controls).
+WHITE_SPACE = (
+    "\t\n\u000b\f\r\u001c\u001d\u001e\u001f \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
-    """Remove every kind of Unicode white space at both ends (``trim`` only knows the space)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Remove every kind of Unicode white space at both ends (``trim`` alone only knows the space)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -50,16 +60,59 @@ def parse_amount(c: Column) -> Column:
     return parse_number(F.translate(c, "$, ", ""))
 
 
+# What a text must look like to be worth parsing, per field of a date pattern.
+_FIELDS = {
+    "yyyy": r"\d{4}",
+    "M": r"(0?[1-9]|1[0-2])",
+    "MM": r"(0[1-9]|1[0-2])",
+    "d": r"(0?[1-9]|[12]\d|3[01])",
+    "dd": r"(0[1-9]|[12]\d|3[01])",
+    "H": r"([01]?\d|2[0-3])",
+    "HH": r"([01]\d|2[0-3])",
+    "h": r"(0?[1-9]|1[0-2])",
+    "hh": r"(0[1-9]|1[0-2])",
+    "m": r"[0-5]?\d",
+    "mm": r"[0-5]\d",
+    "s": r"[0-5]?\d",
+    "ss": r"[0-5]\d",
+    "a": r"[AaPp][Mm]",
+}
+
+
+def date_shape(fmt: str) -> str | None:
+    """Regular expression of the texts a date pattern can read, or None for patterns with other fields."""
+    parts = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", fmt)
+    shape = ""
+    for letter, rest, literal in parts:
+        if literal:
+            shape += re.escape(literal)
+        elif letter + rest in _FIELDS:
+            shape += _FIELDS[letter + rest]
+        else:
+            return None
+    return f"^{shape}$"
+
+
+def _parsed(c: Column, fmt: str) -> Column:
+    """Timestamp or NULL. Texts of the wrong shape skip the parser, whose failures are exceptions and slow."""
+    shape = date_shape(fmt)
+    parsed = F.try_to_timestamp(c, F.lit(fmt))
+    return F.when(c.rlike(shape), parsed) if shape else parsed
+
+
 def parse_timestamp(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    return _parsed(c, fmt).cast("timestamp_ntz")
 
 
 def parse_date(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("date")
+    return _parsed(c, fmt).cast("date")
+
+
+def iso_date(c: Column) -> Column:
+    """The day of a text written exactly as yyyy-MM-dd, else NULL."""
+    return F.when(c.rlike(date_shape("yyyy-MM-dd")), c.try_cast("date"))
 
 
 def is_iso_date(c: Column) -> Column:
     """True only for an existing day written exactly as yyyy-MM-dd; NULL input gives false."""
-    return F.coalesce(
-        c.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False)
-    )
+    return iso_date(c).isNotNull()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import holds, is_iso_date, parse_date
+from tidemark.functions import holds, is_iso_date, iso_date
 from tidemark.operators import quality
 from tidemark.operators.anomaly import sigma_outliers
 
@@ -19,9 +19,7 @@ REQUIRED = ("vendor_id", "amount", "currency")
 
 def delivered_before(start: str = "date", end: str = "delivery_date") -> Column:
     """Violation: delivery not after the date. Rows whose dates are not both ISO days are not judged."""
-    first, last = F.col(start), F.col(end)
-    both = is_iso_date(first) & is_iso_date(last)
-    return holds(both & (parse_date(last, "yyyy-MM-dd") <= parse_date(first, "yyyy-MM-dd")))
+    return holds(iso_date(F.col(end)) <= iso_date(F.col(start)))
 
 
 def rules(

@@ -147,9 +147,9 @@ def store_cleaning_summary(spark, folder):
 
 
 def store_overview(spark, folder):
-    lines = t.with_region(t.with_category(t.store_lines(spark, folder), spark, folder), spark, folder)
-    clean = store.clean(lines, ["Order Date", "Sales", "Quantity", "Discount", "supplier"])
-    out = store.overview(clean)
+    # Duplicates go first: each line has one product and one supplier, so the joins cannot change which stay.
+    clean = store.clean(t.store_lines(spark, folder), ["Order Date", "Sales", "Quantity", "Discount", "supplier"])
+    out = store.overview(t.with_region(t.with_category(clean, spark, folder), spark, folder))
     return rounded(out.withColumns({c: F.col(c).cast("string") for c in ("first_date", "last_date")}), 2)
 
 

@@ -198,13 +198,13 @@ def financials(spark: SparkSession, folder: str) -> DataFrame:
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
 
     def money(c):
-        return F.format_string("$%,.2f ", c)
+        return F.concat(F.lit("$"), F.format_number(c, 2), F.lit(" "))
 
     return read_table(spark, folder, "lineitem").select(
         F.concat(F.lit(" "), F.col("l_returnflag"), F.lit(" ")).alias(" Segment"),
         F.col("l_linestatus").alias("Country"),
         F.col("l_partkey").cast("string").alias("Product"),
-        F.when(quantity == 50, " -   ").otherwise(F.format_string("%,.1f", quantity)).alias(" Units Sold "),
+        F.when(quantity == 50, " -   ").otherwise(F.format_number(quantity, 1)).alias(" Units Sold "),
         money(cents(price / quantity)).alias("Sale Price"),
         money(F.when(F.col("l_linenumber") == 1, price * 2).otherwise(price)).alias("Gross Sales"),
         money(cents(price * (F.lit(1.0) - F.col("l_discount")))).alias(" Sales"),
