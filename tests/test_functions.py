@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import datetime
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import functions as fn
+
+
+def one(spark, column, **values):
+    """Value of a column expression over one literal row."""
+    names = list(values)
+    if not names:
+        return spark.range(1).select(column.alias("x")).first()["x"]
+    types = {str: "string", int: "int", float: "double", bool: "boolean", datetime.datetime: "timestamp_ntz"}
+    schema = ", ".join(f"{n} {types[type(t)] if not isinstance(t, tuple) else t[1]}" for n, t in values.items())
+    row = tuple(t[0] if isinstance(t, tuple) else t for t in values.values())
+    return spark.createDataFrame([row], schema).select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [
+        ("$1,234.50 ", 1234.5),
+        (" $-   ", None),
+        ("1d", None),
+        ("nan", None),
+        ("(5)", None),
+        ("-12", -12.0),
+        ("1e3", 1000.0),
+        (".5", 0.5),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_parse_amount(spark, text, number):
+    assert one(spark, fn.parse_amount(F.col("t")), t=(text, "string")) == number
+
+
+def test_strip_knows_unicode_white_space(spark):
+    assert one(spark, fn.strip(F.col("t")), t=" \t a b  \n") == "a b"
+    assert one(spark, fn.strip(F.col("t")), t=" 　") == ""
+
+
+def test_blank_tokens(spark):
+    for token in ("", "NA", "N/A", "NaN", "null", "None"):
+        assert one(spark, fn.blank_to_null(F.col("t")), t=token) is None
+    assert one(spark, fn.blank_to_null(F.col("t")), t="Nan") == "Nan"
+
+
+@pytest.mark.parametrize(
+    "text, fmt, day",
+    [
+        ("1/2/2014", "d/M/yyyy", "2014-02-01"),
+        ("1/2/2014", "M/d/yyyy", "2014-01-02"),
+        ("13/2/2014", "M/d/yyyy", None),
+        ("31/2/2014", "d/M/yyyy", None),
+        ("1/2/2014x", "d/M/yyyy", None),
+        ("2014-02-01", "d/M/yyyy", None),
+        ("01/02/2014 9:05", "M/d/yyyy H:mm", "2014-01-02"),
+        ("01/02/2014 9:05:07 PM", "M/d/yyyy h:mm:ss a", "2014-01-02"),
+        (None, "d/M/yyyy", None),
+    ],
+)
+def test_parse_timestamp(spark, text, fmt, day):
+    got = one(spark, fn.parse_timestamp(F.col("t"), fmt), t=(text, "string"))
+    assert (got and got.date().isoformat()) == day
+
+
+def test_iso_dates(spark):
+    for text, good in [("2024-02-29", True), ("2023-02-29", False), ("2024/01/02", False), ("2024-1-02", False), (None, False)]:
+        assert one(spark, fn.is_iso_date(F.col("t")), t=(text, "string")) is good
+
+
+def test_clip_keeps_null(spark):
+    assert one(spark, fn.clip(F.col("v"), 0, 100), v=(None, "double")) is None
+    assert one(spark, fn.clip(F.col("v"), 0, 100), v=120.0) == 100.0
+    assert one(spark, fn.clip(F.col("v"), 0, 100), v=-1.0) == 0.0
+
+
+def test_safe_ratio(spark):
+    def ratio(n, d):
+        return one(spark, fn.safe_ratio(F.col("n"), F.col("d")), n=(n, "double"), d=(d, "double"))
+
+    assert ratio(1.0, 4.0) == 25.0
+    assert ratio(1.0, 0.0) == 0.0
+    assert ratio(0.0, 0.0) is None
+    assert ratio(None, 2.0) is None
+
+
+def test_relative_gap_of_zero(spark):
+    def gap(s, c):
+        return one(spark, fn.relative_gap(F.col("s"), F.col("c")), s=s, c=c)
+
+    assert gap(100.0, 90.0) == pytest.approx(0.1)
+    assert math.isinf(gap(0.0, 5.0))
+    assert gap(0.0, 0.0) is None
+
+
+@pytest.mark.parametrize("score, label", [(0.0, "Low"), (40.0, "Low"), (40.01, "Medium"), (70.0, "Medium"), (100.0, "High"), (101.0, None), (-1.0, None)])
+def test_bins_are_right_closed(spark, score, label):
+    assert one(spark, fn.bin_label(F.col("v"), (0, 40, 70, 100), ("Low", "Medium", "High")), v=score) == label
+
+
+def test_bin_label_needs_matching_edges():
+    with pytest.raises(ValueError):
+        fn.bin_label(F.lit(1), (0, 1), ("a", "b"))
+
+
+@pytest.mark.parametrize(
+    "status, flag",
+    [("Advance shipping", 1), ("Shipping on time", 1), ("Late delivery", 0), ("Shipping canceled", 0), ("On time, late", 0), (None, 0)],
+)
+def test_on_time_flag(spark, status, flag):
+    assert one(spark, fn.on_time_flag(F.col("t")), t=(status, "string")) == flag
+
+
+def test_hours_labels_and_durations(spark):
+    assert one(spark, fn.hour_of_elapsed(F.col("v")), v=90000.0) == 1
+    assert one(spark, fn.hour_of_elapsed(F.col("v")), v=-1.0) == 23
+    assert one(spark, fn.month_name(F.lit(4))) == "Apr"
+    start = datetime.datetime(2017, 4, 30, 23, 59, 0)
+    end = datetime.datetime(2017, 5, 1, 0, 0, 30, 500000)
+    assert one(spark, fn.duration_minutes(F.col("a"), F.col("b")), a=start, b=end) == pytest.approx(90.5 / 60)
+    assert one(spark, fn.duration_minutes(F.col("a"), F.col("b")), a=end, b=start) == pytest.approx(-90.5 / 60)
+    assert one(spark, fn.month_label(F.col("a")), a=start) == "Apr-2017"
+    assert one(spark, fn.quarter_label(F.col("a")), a=start) == "Q2"
+    assert one(spark, fn.month_start(F.col("a")), a=start) == datetime.date(2017, 4, 1)
+
+
+def test_unknown_predicate_is_false(spark):
+    assert one(spark, fn.holds(F.col("v") > 1), v=(None, "double")) is False
+    assert one(spark, fn.finite(F.col("v")), v=float("nan")) is None
+
+
+def test_total_is_exact_and_zero_for_nothing(spark):
+    values = [0.1, 0.2, -0.3, 1e9 + 0.07, -0.01, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(fn.total(F.col("v"), 2).alias("s")).first()["s"] == 1000000000.06
+    assert df.filter("v is null").agg(fn.total(F.col("v"), 2).alias("s"), fn.total(F.col("v")).alias("t")).first() == (0.0, 0.0)
+
+
+def test_total_survives_what_overflows_a_long(spark):
+    df = spark.range(1000).select(F.lit(9e14).alias("v"))
+    assert df.agg(fn.total(F.col("v"), 4).alias("s")).first()["s"] == 9e17
+
+
+def test_percent(spark):
+    assert one(spark, fn.percent(F.lit(1), F.lit(3))) == 33.33
+    assert one(spark, fn.percent(F.lit(1), F.lit(0))) is None

@@ -57,7 +57,9 @@ def parse_number(c: Column, to: str = "double") -> Column:
 
 def parse_amount(c: Column) -> Column:
     """Currency text such as ``"$1,234.50 "``; text that is no number after clean-up is NULL."""
-    return parse_number(F.translate(c, "$, ", ""))
+    for sign in "$, ":
+        c = F.replace(c, F.lit(sign))
+    return parse_number(c)
 
 
 # What a text must look like to be worth parsing, per field of a date pattern.
