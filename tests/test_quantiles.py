@@ -112,3 +112,13 @@ def test_shape_types_preview_and_shares(spark):
     assert [tuple(r) for r in statistics.value_shares(df, "k").collect()] == [("a", 2, 100.0)]
     assert {r["column"]: r["distinct_values"] for r in statistics.distinct_counts(df, ["k", "v"]).collect()} == {"k": 1, "v": 3}
     assert {r["column"]: (r["nulls"], round(r["complete_pct"], 2)) for r in statistics.completeness(df).collect()} == {"k": (1, 66.67), "v": (0, 100.0)}
+
+
+def test_session_sizes_follow_the_input():
+    from tidemark.session import sized
+
+    small = sized(10**6, cores=8)
+    large = sized(100 * 10**12, cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(sized(10**12, 100)["spark.sql.shuffle.partitions"]) == -(-(10**12) // (256 * 1024 * 1024))

@@ -31,6 +31,8 @@ from tidemark.functions.scalars import (
     on_time_flag,
     relative_gap,
     safe_ratio,
+    show_count,
+    show_percent,
 )
 
 __all__ = [
@@ -60,6 +62,8 @@ __all__ = [
     "quarter_label",
     "relative_gap",
     "safe_ratio",
+    "show_count",
+    "show_percent",
     "strip",
     "total",
 ]

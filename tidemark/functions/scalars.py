@@ -62,6 +62,16 @@ def on_time_flag(
     return (text.rlike(good) & ~text.rlike(bad)).cast("int")
 
 
+def show_count(c: Column) -> Column:
+    """Text with thousands separators, for reports."""
+    return F.format_number(c, 0)
+
+
+def show_percent(c: Column, digits: int = 2) -> Column:
+    """Text such as ``12.50%``, for reports."""
+    return F.format_string(f"%.{digits}f%%", c.cast("double"))
+
+
 def delay_days(actual: Column, scheduled: Column) -> Column:
     """Days later than scheduled; negative means early."""
     return actual - scheduled

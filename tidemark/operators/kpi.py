@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, percent, total
-from tidemark.operators.quantiles import quantiles
+from tidemark.operators.quantiles import is_small, quantiles
 
 PERIOD = "Month-Year"
 
@@ -30,18 +30,29 @@ def on_time(df: DataFrame, period: str = PERIOD, unit: str = "Department Name",
     )
 
 
-def average_sales(df: DataFrame, period: str = PERIOD, sales: str = "Sales", method: str = "auto") -> DataFrame:
-    """Mean, median and sample SD of the order value per period."""
-    moments = (
-        _known(df, period)
-        .groupBy(period)
-        .agg(F.round(F.avg(sales), 2).alias("avg_sales"), F.round(F.stddev_samp(sales), 2).alias("std_sales"))
-    )
-    medians = quantiles(df, sales, [0.5], by=[period], names=["median"], method=method, bounded_groups=True)
-    # Both sides hold one row per calendar period. A median of cents often ends in half a cent: rounding in
-    # two steps keeps the noise of its interpolation from deciding the direction.
-    return moments.join(F.broadcast(medians), period, "left").select(
-        period, "avg_sales", F.round(F.round("median", 6), 2).alias("median_sales"), "std_sales"
+def average_sales(
+    df: DataFrame, period: str = PERIOD, sales: str = "Sales", method: str = "auto", calendar: bool = True
+) -> DataFrame:
+    """Mean, median and sample SD of the order value per period.
+
+    ``calendar`` states that the periods are calendar months or the like, whose number is bounded.
+    """
+    groups = _known(df, period).groupBy(period)
+    moments = [F.avg(sales).alias("avg"), F.stddev_samp(sales).alias("std")]
+    if method == "auto":
+        method = "inline" if is_small(df.select(period, sales)) else "bracket"
+    if method == "inline":
+        table = groups.agg(*moments, F.percentile(sales, F.lit(0.5)).alias("median"))
+    else:
+        medians = quantiles(df, sales, [0.5], by=[period], names=["median"], method=method, bounded_groups=calendar)
+        table = groups.agg(*moments).join(medians, period, "left")
+    # A median of cents often ends in half a cent: rounding in two steps keeps the noise of its
+    # interpolation from deciding the direction.
+    return table.select(
+        period,
+        F.round("avg", 2).alias("avg_sales"),
+        F.round(F.round("median", 6), 2).alias("median_sales"),
+        F.round("std", 2).alias("std_sales"),
     )
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, holds
-from tidemark.operators.statistics import completeness
 
 SEVERITY_WEIGHTS = {"Critical": 3, "Major": 2, "Minor": 1}
 GRADES = ((90, "A"), (75, "B"), (60, "C"))
@@ -88,13 +87,25 @@ def not_in(column: str, allowed: Sequence[object]) -> Column:
 def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(position, violations, checked) per rule."""
     parts = []
-    row_rules = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule)]
-    if row_rules:
-        wide = df.agg(
-            F.count(F.lit(1)).alias("checked"), *[count_where(r.violation).alias(f"v{i}") for i, r in row_rules]
-        )
-        rows = [F.struct(F.lit(i).alias("position"), F.col(f"v{i}").alias("violations"), "checked") for i, _ in row_rules]
-        parts.append(wide.select(F.inline(F.array(*rows))))
+    # Row and completeness rules share one scan.
+    aggregates, scanned = [F.count(F.lit(1)).alias("n")], []
+    for i, rule in enumerate(rules):
+        if isinstance(rule, RowRule):
+            aggregates.append(count_where(rule.violation).alias(f"v{i}"))
+            violations, checked = F.col(f"v{i}"), F.col("n")
+        elif isinstance(rule, CompletenessRule):
+            columns = list(rule.columns or df.columns)
+            aggregates += [F.count(F.col(f"`{c}`")).alias(f"f{i}_{k}") for k, c in enumerate(columns)]
+            violations = F.lit(0).cast("bigint")
+            for k in range(len(columns)):
+                low = holds(F.try_divide(F.col(f"f{i}_{k}").cast("double"), F.col("n").cast("double")) * 100 < rule.min_pct)
+                violations = violations + low.cast("bigint")
+            checked = F.lit(len(columns)).cast("bigint")
+        else:
+            continue
+        scanned.append(F.struct(F.lit(i).alias("position"), violations.alias("violations"), checked.alias("checked")))
+    if scanned:
+        parts.append(df.agg(*aggregates).select(F.inline(F.array(*scanned))))
     for i, rule in enumerate(rules):
         if isinstance(rule, UniqueRule):
             keys = df.groupBy(*[F.col(f"`{k}`") for k in rule.keys]).agg(F.count(F.lit(1)).alias("n"))
@@ -109,11 +120,6 @@ def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("violations"),
                 F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
             )
-        elif isinstance(rule, CompletenessRule):
-            part = completeness(df, rule.columns or None).agg(
-                count_where(F.col("complete_pct") < rule.min_pct).alias("violations"),
-                F.count(F.lit(1)).alias("checked"),
-            )
         else:
             continue
         parts.append(part.select(F.lit(i).alias("position"), "violations", "checked"))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INLINE_BYTES = 32 * 1024 * 1024
+SALTS = 64
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -88,11 +89,18 @@ def _bracketed(
     small = (not by) or bounded_groups
     hint = F.broadcast if small else (lambda table: table)
 
-    if by:
+    if not by:
+        marked = data.withColumn("_s", data.agg(summary.alias("_s")).scalar()).withColumn("_w", F.lit(1))
+    elif bounded_groups:
         bracket = data.groupBy(*by).agg(summary.alias("_s"))
-        marked = data.join(hint(bracket), by)
+        marked = data.join(F.broadcast(bracket), by).withColumn("_w", F.lit(1))
     else:
-        marked = data.withColumn("_s", data.agg(summary.alias("_s")).scalar())
+        # Any number of groups: equal values are merged first, then the distinct values of a group are
+        # spread over SALTS join keys (a function of the value, so a repeated task spreads them alike).
+        bracket = data.groupBy(*by).agg(summary.alias("_s"))
+        salted = bracket.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        merged = data.groupBy(*by, "_v").agg(F.count("_v").alias("_w"))
+        marked = merged.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")).join(salted, [*by, "_salt"])
     s = F.col("_s")
     lows = [s["edges"][2 * i] for i in range(len(ordered))]
     highs = [s["edges"][2 * i + 1] for i in range(len(ordered))]
@@ -114,13 +122,14 @@ def _bracketed(
         marked.select(
             *by,
             "_v",
+            "_w",
             s["n"].alias("_n"),
             segment.cast("int").alias("_seg"),
             slot.cast("int").alias("_bin"),
         )
         .withColumn("_point", F.when(F.col("_seg") % 2 == 1, F.col("_v")))
         .groupBy(*by, "_n", "_seg", "_bin", "_point")
-        .agg(F.count("_v").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        .agg(F.sum("_w").cast("bigint").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     )
 
     ranks = [(f, F.floor((F.col("_n") - 1) * F.lit(f)), F.ceil((F.col("_n") - 1) * F.lit(f))) for f in ordered]

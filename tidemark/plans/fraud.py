@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import hour_of_elapsed, log_amount
+from tidemark.functions import hour_of_elapsed, log_amount, show_count, show_percent
 from tidemark.operators import anomaly
 from tidemark.operators.statistics import histogram
 from tidemark.sources.checkpoints import store
@@ -74,6 +74,30 @@ def flagged_export(scored: DataFrame) -> DataFrame:
     return flagged.orderBy(F.desc("risk_score"), *[F.col(c) for c in flagged.columns if c != "risk_score"])
 
 
+def summary_lines(scored: DataFrame) -> DataFrame:
+    """Summary of a scored table as text lines (line_no, line)."""
+    one = anomaly.risk_summary(scored)
+    metrics = anomaly.detection_metrics(scored) if "Class" in scored.columns else None
+    parts = [
+        ("Total transactions", show_count(F.col("total"))),
+        ("Flagged", F.concat(show_count(F.col("flagged")), F.lit(" ("), show_percent(F.col("flagged_pct")), F.lit(")"))),
+        ("High risk (above 70)", show_count(F.col("high"))),
+        ("Medium risk (above 40)", show_count(F.col("medium"))),
+        ("Low risk", show_count(F.col("low"))),
+    ]
+    if metrics is not None:
+        one = one.withColumn("m", metrics.select(F.struct(*metrics.columns)).scalar())
+        parts += [
+            ("True positives", show_count(F.col("m.true_positives"))),
+            ("False positives", show_count(F.col("m.false_positives"))),
+            ("False negatives", show_count(F.col("m.false_negatives"))),
+            ("Precision", show_percent(F.col("m.precision") * 100)),
+            ("Recall", show_percent(F.col("m.recall") * 100)),
+        ]
+    lines = F.array(*[F.concat(F.lit(f"{name}: "), value) for name, value in parts])
+    return one.select(F.posexplode(lines).alias("line_no", "line"))
+
+
 def results(raw: DataFrame) -> dict[str, DataFrame]:
     """All result tables of the job by name."""
     scored = store(score(clean(raw)), "scored-transactions")
@@ -81,6 +105,7 @@ def results(raw: DataFrame) -> dict[str, DataFrame]:
         "cleaning_summary": cleaning_summary(raw),
         "class_balance": anomaly.class_balance(scored),
         "flagged_transactions": flagged_export(scored),
+        "summary": summary_lines(scored),
         "risk_summary": anomaly.risk_summary(scored),
         "detection_metrics": anomaly.detection_metrics(scored),
         "risk_score_histogram": histogram(scored, "risk_score", 50),
