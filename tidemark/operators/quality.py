@@ -130,18 +130,19 @@ def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _samples(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str]) -> DataFrame:
-    """(position, place, record) of the first ``SAMPLE`` violating rows per rule, in row order.
+    """(position, record, sample_no) of the first ``SAMPLE`` violating rows per rule, in row order.
 
     ``row_number() <= SAMPLE`` makes Spark keep at most that many rows per rule in every map task.
     """
-    place = F.struct(*[F.col(f"`{c}`") for c in order_by], F.col(f"`{record}`")).alias("place")
+    place = [F.col(f"`{c}`").alias(f"place{n}") for n, c in enumerate([*order_by, record])]
+    places = [f"place{n}" for n in range(len(place))]
     identity = F.col(f"`{record}`").cast("string").alias("record")
     parts = []
     row_rules = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule)]
     if row_rules:
         broken = F.array_compact(F.array(*[F.when(holds(r.violation), F.lit(i)) for i, r in row_rules]))
         parts.append(
-            df.select(F.explode(broken).alias("position"), identity, place)
+            df.select(F.explode(broken).alias("position"), identity, *place)
         )
     for i, rule in enumerate(rules):
         position = F.lit(i).alias("position")
@@ -150,22 +151,22 @@ def _samples(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequen
             names = [f"k{n}" for n in range(len(keys))]
             # The first rows of a table that break the rule are among the first rows of some key.
             first = (
-                df.select(*keys, identity, place)
-                .withColumn("r", F.row_number().over(Window.partitionBy(*names).orderBy("place")))
+                df.select(*keys, identity, *place)
+                .withColumn("r", F.row_number().over(Window.partitionBy(*names).orderBy(*places)))
                 .filter(F.col("r") <= SAMPLE)
             )
             repeated = first.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*names))).filter(F.col("n") > 1)
-            parts.append(repeated.select(position, "record", "place"))
+            parts.append(repeated.select(position, "record", *places))
         elif isinstance(rule, ReferenceRule):
             known = rule.reference.select(F.col(f"`{rule.reference_key}`").alias("k"))
-            unknown = df.select(F.col(f"`{rule.key}`").alias("k"), identity, place).join(known, "k", "left_anti")
-            parts.append(unknown.select(position, "record", "place"))
+            unknown = df.select(F.col(f"`{rule.key}`").alias("k"), identity, *place).join(known, "k", "left_anti")
+            parts.append(unknown.select(position, "record", *places))
     if not parts:
         return df.sparkSession.createDataFrame([], "position int, record string, sample_no int")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    number = F.row_number().over(Window.partitionBy("position").orderBy("place"))
+    number = F.row_number().over(Window.partitionBy("position").orderBy(*places))
     return out.withColumn("sample_no", number).filter(F.col("sample_no") <= SAMPLE).select("position", "record", "sample_no")
 
 

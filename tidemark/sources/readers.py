@@ -42,6 +42,10 @@ def read_delimited(
     return raw.select(*columns)
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the Parquet tables of a folder (``<folder>/<name>.parquet``)."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """One of the Parquet tables of a folder (``<folder>/<name>.parquet``).
+
+    With a schema no job is run to read file footers before the query itself.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")

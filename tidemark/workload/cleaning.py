@@ -15,9 +15,8 @@ from tidemark.functions import (
     strip,
 )
 from tidemark.operators import cleaning, statistics
-from tidemark.sources import read_table
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, rounded
+from tidemark.workload.base import Query, read_table, rounded
 
 FORMATS = ("d/M/yyyy", "M/d/yyyy")
 

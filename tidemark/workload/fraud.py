@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import anomaly
 from tidemark.operators.statistics import histogram, scalar_quantiles, value_shares
 from tidemark.plans import fraud
-from tidemark.sources import read_table
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, rounded
+from tidemark.workload.base import Query, read_table, rounded
 
 
 def scored(spark, folder):

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import quality
 from tidemark.operators.cleaning import out_of_range, same_domain, unexpected_values
 from tidemark.plans import financials, ledger
-from tidemark.sources import read_table
 from tidemark.sources.checkpoints import store
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, rounded
+from tidemark.workload.base import Query, read_table, rounded
 
 ORDER = ("l_orderkey", "l_linenumber")
 CURRENCIES = ("USD", "EUR")

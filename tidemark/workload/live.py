@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.sources import read_table
 from tidemark.streaming import live
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, rounded
+from tidemark.workload.base import Query, read_table, rounded
 
 
 def event_stream(spark, folder):

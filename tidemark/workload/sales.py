@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import percent, total
 from tidemark.operators import trends
 from tidemark.plans import store
-from tidemark.sources import read_table
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, rounded, sql_money
+from tidemark.workload.base import Query, read_table, rounded, sql_money
 
 MONTHS = f"""
   select date_trunc('month', o_orderdate)::date as m, strftime(o_orderdate, '%b-%Y') as label,

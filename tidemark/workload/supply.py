@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import kpi
 from tidemark.plans import supply
-from tidemark.sources import read_table
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, rounded, sql_money
+from tidemark.workload.base import Query, read_table, rounded, sql_money
 
 
 def orders(spark, folder):

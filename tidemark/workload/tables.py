@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources import read_table
-from tidemark.workload.base import cents, sql_cents
+from tidemark.workload.base import cents, read_table, sql_cents
 
 EPOCH_2024 = 1_704_067_200_000_000
 
@@ -205,10 +204,10 @@ def financials(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_linestatus").alias("Country"),
         F.col("l_partkey").cast("string").alias("Product"),
         F.when(quantity == 50, " -   ").otherwise(F.format_number(quantity, 1)).alias(" Units Sold "),
-        money(cents(price / quantity)).alias("Sale Price"),
+        cents(price / quantity).alias("Sale Price"),
         money(F.when(F.col("l_linenumber") == 1, price * 2).otherwise(price)).alias("Gross Sales"),
         money(cents(price * (F.lit(1.0) - F.col("l_discount")))).alias(" Sales"),
-        F.when(F.col("l_tax") == 0, "$0.00").otherwise(money(cents(price * F.lit(0.8)))).alias("COGS"),
+        F.when(F.col("l_tax") == 0, 0.0).otherwise(cents(price * F.lit(0.8))).alias("COGS"),
         F.when(F.col("l_tax") == 0, "nan")
         .otherwise(money(cents(price * (F.lit(0.1) - F.col("l_discount")))))
         .alias(" Profit "),
