@@ -30,6 +30,8 @@ def quarter_label(ts: Column) -> Column:
 
 
 def duration_minutes(start: Column, end: Column) -> Column:
-    """Fractional minutes between two timestamps, exact to the microsecond."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return micros / F.lit(60_000_000.0)
+    """Fractional minutes between two timestamps, exact to the microsecond.
+
+    Zone-less timestamps are compared as they stand, whatever the session time zone.
+    """
+    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(60_000_000.0)

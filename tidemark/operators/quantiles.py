@@ -11,6 +11,11 @@ for small inputs and is used for them. Beyond ``INLINE_BYTES`` the quantiles are
 
 The sorted step sees about ``4 / (accuracy * bins)`` of the distinct values of a group, however its rows
 are skewed. A rank that fell outside its bracket would fail the query rather than give a near value.
+
+An approximate quantile depends on the order in which partial results meet, so a second evaluation, or a
+repeated task, may give other brackets. They are therefore fixed before the counting pass: the single row
+of an ungrouped table is read once, the brackets of groups are written as a table. This makes the call
+run its first pass at once; the rest stays lazy.
 """
 
 from __future__ import annotations
@@ -20,7 +25,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-INLINE_BYTES = 32 * 1024 * 1024
+from tidemark.sources.checkpoints import store
+
+INLINE_BYTES = 16 * 1024 * 1024
 SALTS = 64
 
 
@@ -90,14 +97,18 @@ def _bracketed(
     hint = F.broadcast if small else (lambda table: table)
 
     if not by:
-        marked = data.withColumn("_s", data.agg(summary.alias("_s")).scalar()).withColumn("_w", F.lit(1))
+        fixed = data.agg(summary.alias("_s")).first()["_s"]
+        if not fixed["n"]:
+            return data.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(n) for n in names])
+        row = F.struct(F.lit(fixed["n"]).alias("n"), F.array(*[F.lit(e) for e in fixed["edges"]]).alias("edges"))
+        marked = data.withColumn("_s", row).withColumn("_w", F.lit(1))
     elif bounded_groups:
-        bracket = data.groupBy(*by).agg(summary.alias("_s"))
+        bracket = store(data.groupBy(*by).agg(summary.alias("_s")), "quantile-brackets")
         marked = data.join(F.broadcast(bracket), by).withColumn("_w", F.lit(1))
     else:
         # Any number of groups: equal values are merged first, then the distinct values of a group are
         # spread over SALTS join keys (a function of the value, so a repeated task spreads them alike).
-        bracket = data.groupBy(*by).agg(summary.alias("_s"))
+        bracket = store(data.groupBy(*by).agg(summary.alias("_s")), "quantile-brackets")
         salted = bracket.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         merged = data.groupBy(*by, "_v").agg(F.count("_v").alias("_w"))
         marked = merged.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")).join(salted, [*by, "_salt"])
@@ -176,5 +187,7 @@ def _bracketed(
         place = (F.col("_n") - 1) * F.lit(fraction)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
-        out.append(F.when(low == high, low).otherwise(between).alias(name))
+        lost = F.raise_error(F.lit("quantile rank not found")).cast("double")
+        value = F.when(low.isNull() | high.isNull(), lost).when(low == high, low).otherwise(between)
+        out.append(value.alias(name))
     return picked.select(*by, *out)

@@ -14,14 +14,9 @@ from tidemark.operators.kpi import target_alerts
 from tidemark.sources.checkpoints import fresh_path
 
 
-def read_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files_per_trigger: int = 100) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+def read_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 100) -> DataFrame:
+    """Parquet files below a path (a folder or a pattern of files and folders) as a stream."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def with_event_time(df: DataFrame, column: str, late: str = "1 hour") -> DataFrame:

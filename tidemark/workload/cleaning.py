@@ -89,8 +89,8 @@ def value_histogram(spark, folder):
 
 def parse_money(spark, folder):
     orders = read_table(spark, folder, "orders")
-    text = orders.select("o_orderkey", F.format_string("$%,.2f ", "o_totalprice").alias("text"))
-    text = text.withColumn("text", F.when(F.col("o_orderkey") % 10 == 3, " $-   ").otherwise(F.col("text")))
+    price = F.format_string("$%,.2f ", "o_totalprice")
+    text = orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "P", " $-   ").otherwise(price).alias("text"))
     return text.select("o_orderkey", parse_amount(F.col("text")).alias("amount"))
 
 
@@ -246,7 +246,7 @@ QUERIES: dict[str, Query] = {
     ),
     "parse_money": Query(
         parse_money,
-        "select o_orderkey, case when o_orderkey % 10 <> 3 then o_totalprice end as amount from orders",
+        "select o_orderkey, case when o_orderstatus <> 'P' then o_totalprice end as amount from orders",
     ),
     "money_failures": Query(
         money_failures,

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.streaming import live
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, read_table, rounded
+from tidemark.workload.base import SCHEMAS, Query, rounded
 
 
 def event_stream(spark, folder):
-    schema = read_table(spark, folder, "events").schema
-    return live.read_stream(spark, folder, schema, "events.parquet")
+    # The pattern fits a table that is one file and one that is a folder.
+    return live.read_stream(spark, f"{folder.rstrip('/')}/events.parquet*", SCHEMAS["events"])
 
 
 def live_scores(spark, folder):

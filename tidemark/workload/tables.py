@@ -16,7 +16,7 @@ EPOCH_2024 = 1_704_067_200_000_000
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     e = read_table(spark, folder, "events")
     return e.select(
-        ((F.unix_micros(F.col("ts").cast("timestamp")) - EPOCH_2024) / F.lit(1_000_000.0)).alias("Time"),
+        (F.timestamp_diff("MICROSECOND", F.lit("2024-01-01").cast("timestamp_ntz"), F.col("ts")) / F.lit(1_000_000.0)).alias("Time"),
         (F.get_json_object("props", "$.k").cast("double") - 50).alias("V1"),
         (F.minute("ts") - 30).cast("double").alias("V4"),
         (F.second("ts") - 30).cast("double").alias("V14"),
