@@ -4,13 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe
-from tidemark.llm.common import documents
+from tidemark.llm import byte_bpe, language
+from tidemark.llm.common import documents, pick
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = documents(spark, sf_dir)
+    held = language.held_out(F.col("doc_id"))
+    taught = pick(docs, doc_id="doc_id", lang="lang", text="text").where(~held).select("lang", "text")
+    found = language.identify(docs, language.profiles(taught))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "distance")
+
+
 def byte_bpe_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     content = byte_bpe.load(spark, public_tokenizers.path(TOKENIZER))
     return byte_bpe.digest(byte_bpe.encode_decode(docs, content, public_tokenizers.PATTERN))
@@ -22,6 +32,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op10_byte_bpe": op10_byte_bpe,
 }
 SQL: dict[str, str] = {}
