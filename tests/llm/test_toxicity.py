@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from tidemark.llm import toxicity, workload
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_automaton_equals_edit_distance():
+    rng = random.Random(3)
+    terms = ["scum", "moron", "idiot", "stupid", "worthless", "disgusting", "abab*", "ab*"]
+    whole = [t for t in terms if not t.endswith("*")]
+    automaton = toxicity.Automaton(terms)
+    words = ["", "ab", "abab", "ababx", "abacus", "x", "moronic"]
+    for _ in range(3000):
+        word = list(rng.choice(whole))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(word))
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "o", "s"])
+        words.append("".join(word))
+    for word in words:
+        near = [(distance(word, t), t) for t in whole if distance(word, t) <= toxicity.allowed_edits(t)]
+        begun = [t for t in ("abab*", "ab*") if word.startswith(t[:-1])]
+        want = (min(near)[1], min(near)[0]) if near else (begun[0], 0) if begun else None
+        assert automaton.match(word) == want, word
+
+
+def test_contexts():
+    matcher = toxicity.Matcher(["stupid"])
+    kinds = [toxicity.matches(t, matcher)[0][4] for t in ('a "stupid" b', "he said stupid", "you are stupid", "so stupd")]
+    assert kinds == ["quoted", "reported", "addressed", "plain"]
+    assert toxicity.matches("A STUPPID x", matcher) == [(2, 9, "stupid", 1, "plain")]
+
+
+def test_odd_rows(spark):
+    odd = [(1, None), (2, ""), (3, "stupid " * 30_000), (4, "fine"), (4, "fine"), (None, "stupid")]
+    df = spark.createDataFrame([(a, b, 1) for a, b in odd], "doc_id long, text string, score int")
+    weights = np.zeros(toxicity.FEATURES + 1)
+    weights[-1] = -2.0
+    rows = toxicity.score(df, ["stupid"], weights).collect()
+    assert len(rows) == len(odd)
+    assert {r.doc_id: r.n_matches for r in rows} == {1: 0, 2: 0, 3: 30_000, 4: 0, None: 1}
+    assert all(r.predicted == 0 for r in rows)
+    assert toxicity.score(df.limit(0), [], weights).count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, None), (2, 1), (None, 0)], "doc_id long, toxic int")
+    terms, weights = toxicity.learn(docs, labels)
+    assert terms == [] and len(toxicity.score(docs, terms, weights).collect()) == 1
+
+
+def test_held_out(spark):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    rows = workload.op9_toxicity(spark, FOLDER).collect()
+    assert len(rows) == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    caught = sum(p and y for p, y in held)
+    assert caught >= 0.85 * sum(y for _, y in held)
+    assert caught >= 0.95 * sum(p for p, _ in held)

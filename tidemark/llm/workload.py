@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language
-from tidemark.llm.common import documents, pick
+from tidemark.llm import byte_bpe, language, toxicity
+from tidemark.llm.common import documents, pick, table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,16 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "distance")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = documents(spark, sf_dir)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    labels = pick(table(spark, sf_dir, "labels"), doc_id="doc_id", toxic="toxic").where(~held)
+    terms, weights = toxicity.learn(pick(docs, doc_id="doc_id", text="text"), labels)
+    found = toxicity.score(docs, terms, weights)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted", "n_matches")
+
+
 def byte_bpe_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     content = byte_bpe.load(spark, public_tokenizers.path(TOKENIZER))
     return byte_bpe.digest(byte_bpe.encode_decode(docs, content, public_tokenizers.PATTERN))
@@ -33,6 +43,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 SQL: dict[str, str] = {}
