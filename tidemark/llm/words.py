@@ -79,12 +79,14 @@ def hash_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h for _, _, h in found]), np.searchsorted(starts, offsets)
 
 
-def shingles(words: np.ndarray, k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles of one text; a shorter text is one shingle of all its words."""
-    if not words.size:
-        return words
-    n = min(k, words.size)
+def windows(words: np.ndarray, n: int) -> np.ndarray:
+    """The hash of every run of ``n`` words, in order."""
     sums = np.zeros(words.size - n + 1, np.uint64)
     for i in range(n):
         sums = sums * np.uint64(BASE) + words[i : words.size - n + 1 + i]
-    return np.unique(mixed(sums + np.uint64(n)))
+    return mixed(sums + np.uint64(n))
+
+
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles of one text; a shorter text is one shingle of all its words."""
+    return np.unique(windows(words, min(k, words.size))) if words.size else words
