@@ -156,12 +156,13 @@ def regions(keys: DataFrame) -> DataFrame:
         .where("low <> high")
         .select(*by)
     )
-    members = store(keys.join(shared, by).select(*by, "node").distinct(), "members")
+    # Aggregates are written before they are joined: a join of two plain exchanges lets Spark split hot keys.
+    members = store(keys.join(store(shared, "shared"), by).select(*by, "node").distinct(), "members")
     central = members.groupBy("region", "node").agg(F.count("*").alias("links"))
     ranked = members.join(central, ["region", "node"])
     named = ranked.groupBy(*by).agg(F.max(F.struct("links", "node")).alias("best")).select(*by, "best.node")
     named = named.withColumnRenamed("node", "pivot")
-    found = members.join(named, by).select("region", "pivot", "node").distinct()
+    found = members.join(store(named, "named"), by).select("region", "pivot", "node").distinct()
     return found.select(F.xxhash64("region", "pivot").alias("region"), "pivot", "node")
 
 
@@ -189,13 +190,13 @@ def still_open(measured: DataFrame, rule: Rule) -> DataFrame:
     ``large`` tells regions that one task should not join.
     """
     opened = measured.where("not linked").groupBy("region").agg(F.min("distance").alias("nearest"))
-    near = measured.join(opened, "region").where(
+    near = measured.join(store(opened, "opened"), "region").where(
         ~F.col("linked") | (F.col("distance") >= F.col("nearest") - F.lit(rule.radius + SLACK))
     )
     near = store(near.select("region", "node", "n", "linked"), "open")
     sizes = near.groupBy("region").agg(F.count("*").alias("count"), F.sum("n").alias("total")).where("count > 1")
     large = (F.col("count") > LEAF_DOCUMENTS) | (F.col("total") > LEAF_SHINGLES)
-    return near.join(sizes.select("region", large.alias("large")), "region")
+    return near.join(store(sizes.select("region", large.alias("large")), "sizes"), "region")
 
 
 def leaf_links(near: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -234,7 +235,7 @@ def local_keys(near: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         near.where("large").select("region", "node").join(sets, "node").select("region", "node", F.explode("members").alias("key"))
     )
     often = every.groupBy("region", "key").agg(F.count("*").alias("often"))
-    ordered = every.join(often, ["region", "key"]).groupBy("region", "node").agg(
+    ordered = every.join(store(often, "often"), ["region", "key"]).groupBy("region", "node").agg(
         F.sort_array(F.collect_list(F.struct("often", "key"))).alias("all")
     )
     n = F.size("all")
@@ -248,7 +249,7 @@ def links(described_: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Links (node, other) whose components are those of all linked pairs of sets."""
     first = described_.where("n > 0").select(F.lit(0).cast("bigint").alias("region"), F.explode("keys").alias("key"), "node")
     found = store(regions(first), "regions")
-    wanted = found.select("node").distinct()
+    wanted = store(found.select("node").distinct(), "wanted")
     # One document of each set gives the set; only these texts are read again.
     ids = described_.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     ids = ids.select(F.col("doc_id").alias("wanted_id"))
@@ -300,7 +301,7 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id",
     classes = every.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = classes.join(smallest, "label").select("node", "component_id")
+    named = classes.join(store(smallest, "smallest"), "label").select("node", "component_id")
     full = every.where("n > 0").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = every.where("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(alone)
