@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, jaccard, language, toxicity
+from tidemark.llm import byte_bpe, jaccard, language, line_chunks, toxicity
 from tidemark.llm.common import documents, pick, table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "distance")
 
 
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that another one holds already."""
+    return line_chunks.remove_repeated(documents(spark, sf_dir)).select("doc_id", "text", "n_removed")
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of 0.85 of their 4-word shingles."""
     return jaccard.near_duplicates(documents(spark, sf_dir), jaccard.Rule(words=4, share=85, per=100))
@@ -48,6 +53,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op4_line_chunks": op4_line_chunks,
     "op5_jaccard": op5_jaccard,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
