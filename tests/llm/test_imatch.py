@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import imatch, workload
+from tidemark.llm.words import hash_words
+
+
+def chain(rows):
+    """(id, text, edited text, next text) by definition."""
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    for i, (doc, text) in enumerate(ordered):
+        text, following = text or "", ordered[(i + 1) % len(ordered)][1] or ""
+        half = len(text) // 2
+        yield doc, text, text[: len(text) - half] + following[:half], following
+
+
+def check(spark, df, rows, terms):
+    make = imatch.Fingerprinter(terms)
+    one = lambda t: make(hash_words([t])[0])
+    want = [
+        (repr(d), len(t), hashlib.sha256(e.encode()).hexdigest(), one(t), one(e), imatch.likeness(one(t), one(e)), imatch.likeness(one(t), one(n)))
+        for d, t, e, n in chain(rows)
+    ]
+    got = [
+        (repr(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next)
+        for r in imatch.robustness(df, terms).collect()
+    ]
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_odd_rows(spark, parts):
+    rows = [(5, "a b c d é漢"), (4, None), (9, ""), (9, "zz"), (9, "zz"), (-3, "x" * 1001), (None, "no id"), (1, "a b"), (2, "a b c a b")]
+    df = spark.createDataFrame([(a, b, "q") for a, b in rows], "doc_id long, text string, kind string").repartition(parts)
+    terms = np.sort(hash_words(["a b c zz"])[0])
+    check(spark, df, rows, terms)
+    check(spark, df.where("doc_id = 5"), rows[:1], terms)
+    assert imatch.robustness(df.limit(0), terms).count() == 0
+    equal = {r.fingerprint for r in imatch.fingerprints(df.where("doc_id = 9 and text = 'zz'"), terms).collect()}
+    assert len(equal) == 1
+
+
+def test_lexicon_equals_counting(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    words = [set(hash_words([r.text])[0].tolist()) for r in rows]
+    counts = {}
+    for s in words:
+        for w in s:
+            counts[w] = counts.get(w, 0) + 1
+    want = sorted(w for w, n in counts.items() if max(2, 0.02 * len(rows)) <= n <= 0.1 * len(rows))
+    assert imatch.lexicon(spark.createDataFrame(rows).repartition(4), low=0.02).tolist() == want
+    assert imatch.lexicon(spark.createDataFrame([(None,)], "text string")).size == 0
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    rows = workload.op6_imatch(spark, folder).collect()
+    want = {d: (len(t), hashlib.sha256(e.encode()).hexdigest()) for d, t, e, _ in chain(docs)}
+    assert {r.doc_id: (r.n_chars, r.edited_sha256) for r in rows} == want
+    by = {}
+    texts = dict(docs)
+    for r in rows:
+        by.setdefault(texts[r.doc_id], set()).add(r.fingerprint)
+    assert all(len(f) == 1 for f in by.values())
+    edited = sum(r.near_edited for r in rows) / len(rows)
+    following = sum(r.near_next for r in rows) / len(rows)
+    assert edited > 0.2 and following < 0.02, (edited, following)

@@ -163,9 +163,8 @@ def matches(text: str, matcher: Matcher) -> list[tuple[int, int, str, int, str]]
     ]
 
 
-def features(text: str, matcher: Matcher) -> tuple[list[int], list[float]]:
+def features(found: list[tuple[int, int, str, int, str]]) -> tuple[list[int], list[float]]:
     """Hashed features of the matches: each term with its edits and context, and how many there are."""
-    found = matches(text, matcher)
     counts: dict[str, int] = {}
     for _, _, term, edits, where in found:
         kind = "begin" if term.endswith(BEGINNING) else "word"
@@ -197,7 +196,7 @@ def sample(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic") -> D
 
 
 def lexicon(examples: DataFrame) -> list[str]:
-    """Words and word beginnings that toxic documents hold far more often, by the log-likelihood ratio.
+    """Words, and beginnings of longer words, that toxic documents hold far more often, by the log-likelihood ratio.
 
     ``examples`` (text, label) is bounded by ``sample``; terms are counted once a document, in Spark, and the
     ``LEXICON`` strongest reach the driver.
@@ -214,7 +213,7 @@ def lexicon(examples: DataFrame) -> list[str]:
             for batch in slices(whole, "text"):
                 for text, label in zip(texts(batch), batch.column("label").to_pylist(), strict=True):
                     words = set(WORD.findall(text.lower()))
-                    terms = words | {w[:n] + BEGINNING for w in words for n in PREFIXES if len(w) >= n}
+                    terms = words | {w[:n] + BEGINNING for w in words for n in PREFIXES if len(w) > n}
                     for term in terms:
                         held.setdefault(term, [0, 0])[label] += 1
                     if len(held) > HELD:
@@ -239,16 +238,18 @@ def lexicon(examples: DataFrame) -> list[str]:
     )
     best = rated.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term").limit(LEXICON)
     found = {r.term: (r.evidence, r.a, r.b) for r in best.collect()}
-    # A beginning is kept where it says more than the shorter one; a word where no beginning covers it as well.
-    kept = []
-    for term, (evidence, a, b) in found.items():
-        bare = term.removesuffix(BEGINNING)
-        shorter = [found[bare[:n] + BEGINNING] for n in PREFIXES if n < len(bare) and bare[:n] + BEGINNING in found]
-        if term.endswith(BEGINNING) and any(e >= evidence and y * (a + 1) >= b * (x + 1) for e, x, y in shorter):
-            continue
-        if term.endswith(BEGINNING) and bare in found and found[bare][0] >= 0.9 * evidence:
-            continue
-        kept.append(term)
+    # The shortest beginning that clean documents hardly use stands for all that begin with it, unless one word
+    # makes up most of it: that word is kept instead, as only whole words may be misspelled.
+    kept: list[str] = []
+    for n in PREFIXES:
+        for term, (evidence, a, b) in found.items():
+            bare = term.removesuffix(BEGINNING)
+            if not term.endswith(BEGINNING) or len(bare) != n or any(bare.startswith(k[:-1]) for k in kept):
+                continue
+            leading = max((e for w, (e, *_) in found.items() if not w.endswith(BEGINNING) and w.startswith(bare)), default=0.0)
+            if leading < 0.7 * evidence and a / clean <= 0.1 * b / toxic:
+                kept.append(term)
+    kept += [w for w in found if not w.endswith(BEGINNING) and not any(w.startswith(k[:-1]) for k in kept)]
     return sorted(kept)
 
 
@@ -265,7 +266,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not matcher:
             matcher.append(Matcher(terms))
-        rows = [features(t, matcher[0]) for t in texts(batch)]
+        rows = [features(matches(t, matcher[0])) for t in texts(batch)]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("label"),
@@ -305,9 +306,8 @@ def score(
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not matcher:
             matcher.append(Matcher(shared.value[0]))
-        found = texts(batch)
-        scores = [linear.score(shared.value[1], *features(t, matcher[0])) for t in found]
-        spans = [matches(t, matcher[0]) for t in found]
+        spans = [matches(t, matcher[0]) for t in texts(batch)]
+        scores = [linear.score(shared.value[1], *features(s)) for s in spans]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, jaccard, language, leaks, line_chunks, quality, toxicity
+from tidemark.llm import byte_bpe, imatch, jaccard, language, leaks, line_chunks, quality, toxicity
 from tidemark.llm.common import documents, pick, table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,12 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir), jaccard.Rule(words=4, share=85, per=100))
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its half-edited text."""
+    docs = documents(spark, sf_dir)
+    return imatch.robustness(docs, imatch.lexicon(pick(docs, text="text")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by weak labels."""
     return quality.classify(documents(spark, sf_dir))
@@ -65,6 +71,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op4_line_chunks": op4_line_chunks,
     "op5_jaccard": op5_jaccard,
+    "op6_imatch": op6_imatch,
     "op7_quality": op7_quality,
     "op8_leaks": op8_leaks,
     "op9_toxicity": op9_toxicity,
