@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, imatch, jaccard, language, leaks, line_chunks, quality, secrets, toxicity
+from tidemark.llm import byte_bpe, imatch, jaccard, language, leaks, line_chunks, personal, quality, secrets, toxicity
 from tidemark.llm.common import documents, pick, table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "distance")
 
 
+def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal.scan(documents(spark, sf_dir))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document; a document is a repository of its source."""
     return secrets.scan(documents(spark, sf_dir))
@@ -74,6 +79,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_personal": op2_personal,
     "op3_secrets": op3_secrets,
     "op4_line_chunks": op4_line_chunks,
     "op5_jaccard": op5_jaccard,
