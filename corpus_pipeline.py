@@ -1,27 +1,60 @@
-"""A corpus pipeline: each stage reads what the stage before it wrote."""
+"""A corpus pipeline: each stage reads what the stage before it wrote, and its decisions take effect.
+
+Rows that a filtering stage drops are gone, the line stage changes texts; all columns of documents stay until
+the last stage, which returns the digests of the token ids.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import workload
-from tidemark.llm.common import documents, store
+from tidemark.llm import jaccard, leaks, line_chunks, quality, workload
+from tidemark.llm.common import documents, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without line chunks that another one holds; those of which nothing is left go."""
+    found = line_chunks.remove_repeated(docs, removed="line_chunks_removed").where("line_chunks_removed = 0 or text <> ''")
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(F.col("line_chunks_removed") > 0, length).otherwise(F.col("n_chars")))
+    return found.select(*[f"`{c}`" for c in docs.columns])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group linked by 5-word shingles at a similarity of 0.8."""
+    return jaccard.keep_one(docs, jaccard.Rule(words=5, share=80, per=100))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return leaks.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document that is left."""
     return workload.byte_bpe_digest(spark, docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_documents),
+    ("line_chunks", without_repeated_lines),
+    ("jaccard", one_of_each_group),
+    ("leaks", without_benchmark),
     ("byte_bpe", tokens),
 ]
 
-# Prefix tables, rolling hashes and learned weights have no SQL form.
+# Learned weights, rolling hashes, similarity joins and prefix tables have no SQL form.
 ORACLE_SQL: str | None = None
 
 
