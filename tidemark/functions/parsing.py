@@ -52,6 +52,11 @@ def blank_to_null(c: Column) -> Column:
 
 
 def parse_number(c: Column, to: str = "double") -> Column:
+    """A number of type ``to``; a whole number may be written ``"3.0"``, another fraction is no integer."""
+    if to in ("tinyint", "smallint", "int", "bigint"):
+        exact = c.try_cast("decimal(38,10)")
+        whole = F.when(exact == F.floor(exact), exact).try_cast(to)
+        return F.when(c.rlike(_DECIMAL), F.coalesce(c.try_cast(to), whole))
     return F.when(c.rlike(_DECIMAL), c.try_cast(to))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.quantiles import is_small, quantiles
+from tidemark.sources.checkpoints import store
 
 
 def scalar_stats(df: DataFrame, **aggregates: Column) -> Column:
@@ -164,8 +165,11 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """Equal-width histogram from minimum to maximum; the last bin is closed, empty bins are kept."""
-    data = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    """Equal-width histogram from minimum to maximum; the last bin is closed, empty bins are kept.
+
+    The values alone are written once: limits and counts both read them, and ``df`` may be a costly plan.
+    """
+    data = store(df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull()), "histogram-values")
     # A constant column gets one unit of width around its value.
     half = F.when(F.max("v") == F.min("v"), 0.5).otherwise(0.0)
     limits = scalar_stats(data, lo=F.min("v") - half, hi=F.max("v") + half)

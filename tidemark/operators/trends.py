@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import count_where, month_label, month_name, month_start, percent, total
 from tidemark.operators.kpi import latest
+from tidemark.sources.checkpoints import store
 
 # The categories and regions of the store data set.
 CATEGORIES = ("Furniture", "Office Supplies", "Technology")
@@ -186,13 +187,24 @@ def revenue_pivot(
     df: DataFrame,
     rows: str | Column = "Region",
     columns: str = "Category",
-    values: Sequence[str] = CATEGORIES,
+    values: Sequence[str] | None = None,
     sales: str = "Sales",
     scale: int | None = None,
 ) -> DataFrame:
-    """Revenue matrix. The column values are given, so no job is needed to find them."""
+    """Revenue matrix with a column for every value present.
+
+    The rows are summed per cell first; the small table of cells is written once, and its values become the
+    columns. With ``values`` the columns are fixed and the revenue of all other values goes to ``other``.
+    """
     key = F.col(f"`{rows}`") if isinstance(rows, str) else rows
-    return df.filter(key.isNotNull()).groupBy(key).pivot(columns, list(values)).agg(total_or_null(F.col(sales), scale))
+    known = df.filter(key.isNotNull() & F.col(f"`{columns}`").isNotNull())
+    column = F.col(f"`{columns}`").cast("string")
+    if values is not None:
+        column = F.when(column.isin(*values), column).otherwise("other")
+    cells = known.groupBy(key, column.alias("_column")).agg(total_or_null(F.col(sales), scale).alias("_total"))
+    if values is None:
+        cells = store(cells, "pivot-cells")
+    return cells.groupBy(cells.columns[0]).pivot("_column", [*values, "other"] if values is not None else None).agg(F.first("_total"))
 
 
 def total_or_null(c: Column, scale: int | None = None) -> Column:

@@ -9,8 +9,10 @@ from tidemark.functions import hour_of_elapsed, log_amount, show_count, show_per
 from tidemark.operators import anomaly
 from tidemark.operators.statistics import histogram
 from tidemark.sources.checkpoints import store
-from tidemark.operators.cleaning import drop_duplicates, drop_missing, duplicate_rows, keep_existing
+from tidemark.operators.cleaning import drop_duplicates, drop_missing, duplicate_rows, keep_existing, unexpected_values
 
+# The labels, and the header of the export.
+LABELS = (0, 1)
 EXPORT_COLUMNS = (
     "Amount",
     "Hour",
@@ -25,13 +27,18 @@ EXPORT_COLUMNS = (
 )
 
 
+def distinct_transactions(raw: DataFrame) -> DataFrame:
+    """Complete transactions, each once."""
+    return drop_duplicates(drop_missing(raw))
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """Complete, distinct transactions with log amount, hour of day and standardised columns.
 
     The distinct rows are written once: the statistics passes and the scoring pass all read them, and
     de-duplication shuffles the whole table.
     """
-    rows = store(drop_duplicates(drop_missing(raw)), "transactions")
+    rows = store(distinct_transactions(raw), "transactions")
     rows = rows.withColumns(
         {"Amount_log": log_amount(F.col("Amount")), "Hour": hour_of_elapsed(F.col("Time"))}
     )
@@ -104,6 +111,7 @@ def results(raw: DataFrame) -> dict[str, DataFrame]:
     return {
         "cleaning_summary": cleaning_summary(raw),
         "class_balance": anomaly.class_balance(scored),
+        "unexpected_labels": unexpected_values(raw, "Class", LABELS),
         "flagged_transactions": flagged_export(scored),
         "summary": summary_lines(scored),
         "risk_summary": anomaly.risk_summary(scored),

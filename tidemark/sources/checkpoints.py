@@ -19,7 +19,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    # "local-cluster" has executors of its own, and a client that knows no master may talk to any cluster.
+    if master == "local" or master.startswith("local["):
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set(SETTING, folder) if spark.conf.isModifiable(SETTING) else None
         return folder

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import blank_to_null, parse_number
+from tidemark.functions import blank_to_null, finite, parse_number
 
 
 def read_delimited(
@@ -45,7 +45,17 @@ def read_delimited(
 def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
     """One of the Parquet tables of a folder (``<folder>/<name>.parquet``).
 
-    With a schema no job is run to read file footers before the query itself.
+    With a schema no job is run to read file footers before the query itself. NaN reads as NULL.
     """
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    found = reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return found.withColumns({c: finite(F.col(f"`{c}`")) for c, kind in found.dtypes if kind in ("double", "float")})
+
+
+def long_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", delimiter: str = ",") -> DataFrame:
+    """One row: lines with more fields than the header has. The CSV reader cuts such lines to the header's width."""
+    header = spark.read.option("header", True).option("encoding", encoding).option("sep", delimiter).csv(path).columns
+    wide = ", ".join(f"c{i} string" for i in range(len(header) + 1))
+    reader = spark.read.schema(wide).option("header", True).option("enforceSchema", True).option("encoding", encoding)
+    rows = reader.option("sep", delimiter).option("quote", '"').option("escape", '"').csv(path)
+    return rows.agg(F.count(f"c{len(header)}").alias("long_lines"))

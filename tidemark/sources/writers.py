@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_delimited(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
     """CSV folder with header lines."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    writer = df.write.mode(mode).option("header", True).option("encoding", encoding)
+    writer.option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions import percent, total
@@ -14,9 +15,14 @@ from tidemark.operators.kpi import target_alerts
 from tidemark.sources.checkpoints import fresh_path
 
 
-def read_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 100) -> DataFrame:
-    """Parquet files below a path (a folder or a pattern of files and folders) as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files below a path (a folder or a pattern of files and folders) as a stream.
+
+    Without ``files_per_trigger`` all that has arrived is one micro-batch. A cap cuts a backlog into several, in
+    the order of file times; see ``run_available`` for what that means for late rows.
+    """
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
 def with_event_time(df: DataFrame, column: str, late: str = "1 hour") -> DataFrame:
@@ -75,17 +81,47 @@ def score_stream(
     return anomaly.combine_flags(out, flags=(), at_least=at_least)
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Process everything that has arrived, write it to Parquet in the shared folder, and read it back."""
+class RowsDropped(RuntimeError):
+    """Rows came after their window had closed, and the result lacks them."""
+
+
+def _finish(query: StreamingQuery) -> int:
+    """Wait for the end; rows that the watermark dropped, summed over all micro-batches."""
+    dropped: dict[int, int] = {}
+    while True:
+        ended = query.awaitTermination(0.5)
+        for progress in query.recentProgress:
+            dropped[progress["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+        if ended:
+            return sum(dropped.values())
+
+
+def run_available(stream: DataFrame, name: str, mode: str = "append", state: str | None = None, path: str | None = None) -> DataFrame:
+    """Process everything that has arrived, write it to Parquet in the shared folder, and read it back.
+
+    ``append`` writes a window once its watermark has passed: windows still open stay in the state, and rows
+    that come later than the watermark allows are dropped. Dropped rows raise ``RowsDropped``. ``complete``
+    keeps every window, drops nothing whatever the order or number of files, and returns open windows too; its
+    result is the whole table as of the last micro-batch. With ``state`` (and, for ``append``, ``path``) a later
+    call goes on where this one ended; they are folders all executors share.
+    """
     spark = stream.sparkSession
-    path = fresh_path(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("path", path)
-        .option("checkpointLocation", fresh_path(spark, f"{name}-state"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    path = path or fresh_path(spark, name)
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", state or fresh_path(spark, f"{name}-state"))
+    if mode == "complete":
+        last: list[str] = []
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            target = f"{path}/batch={batch_id}"
+            batch.write.mode("overwrite").parquet(target)
+            last[:] = [target]
+
+        dropped = _finish(writer.foreachBatch(write).trigger(availableNow=True).start())
+        if not last:
+            return spark.createDataFrame([], stream.schema)
+        path = last[0]
+    else:
+        dropped = _finish(writer.format("parquet").option("path", path).trigger(availableNow=True).start())
+    if dropped:
+        raise RowsDropped(f"{dropped} rows of {name} were later than the watermark allows")
     return spark.read.schema(stream.schema).parquet(path)

@@ -15,6 +15,8 @@ from tidemark.functions import (
     strip,
 )
 from tidemark.operators import cleaning, statistics
+from tidemark.sources import read_delimited, write_delimited
+from tidemark.sources.checkpoints import fresh_path
 from tidemark.workload import tables as t
 from tidemark.workload.base import Query, read_table, rounded
 
@@ -28,8 +30,27 @@ def sparse_lineitem(spark, folder):
 
 
 def dedup_full(spark, folder):
-    li = read_table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_tax")
-    return cleaning.drop_duplicates(li.withColumn("l_tax", F.col("l_tax") + F.lit(0.0)))
+    """Whole order lines, each of the even orders there twice."""
+    li = read_table(spark, folder, "lineitem").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    signless = {c: F.col(c) + F.lit(0.0) for c in ("l_tax", "l_discount")}
+    return cleaning.drop_duplicates(li.unionByName(li.where("l_orderkey % 2 = 0")).withColumns(signless))
+
+
+def through_csv(df, encoding):
+    """The table written to the shared folder as CSV and read back."""
+    path = fresh_path(df.sparkSession, "csv")
+    write_delimited(df, path, encoding=encoding)
+    numbers = {c: kind for c, kind in df.dtypes if kind != "string"}
+    return read_delimited(df.sparkSession, path, numbers, encoding)
+
+
+def csv_round_trip(spark, folder):
+    return through_csv(read_table(spark, folder, "customer"), "UTF-8")
+
+
+def csv_latin1(spark, folder):
+    named = read_table(spark, folder, "supplier").withColumn("s_name", F.concat("s_name", F.lit(', "Größe" été')))
+    return through_csv(named, "ISO-8859-1")
 
 
 def dedup_keyed(spark, folder):
@@ -180,8 +201,12 @@ PROFILE = " union all ".join(
 
 QUERIES: dict[str, Query] = {
     "dedup_full": Query(
-        dedup_full, "select distinct l_returnflag, l_linestatus, l_linenumber, l_quantity, l_tax + 0.0::double as l_tax from lineitem"
+        dedup_full,
+        """select distinct * replace (strftime(l_shipdate, '%Y-%m-%d') as l_shipdate, l_tax + 0.0::double as l_tax,
+                                      l_discount + 0.0::double as l_discount) from lineitem""",
     ),
+    "csv_round_trip": Query(csv_round_trip, "select * from customer"),
+    "csv_latin1": Query(csv_latin1, "select * replace (s_name || ', \"Größe\" été' as s_name) from supplier"),
     "dedup_keyed": Query(
         dedup_keyed,
         """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, strftime(l_shipdate, '%Y-%m-%d') as l_shipdate

@@ -53,7 +53,7 @@ def detection_metrics(spark, folder):
 
 
 def class_balance(spark, folder):
-    return anomaly.class_balance(fraud.clean(t.transactions(spark, folder)))
+    return anomaly.class_balance(fraud.distinct_transactions(t.transactions(spark, folder)))
 
 
 def flag_counts(spark, folder):

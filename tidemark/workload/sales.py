@@ -55,12 +55,10 @@ def trend_report(spark, folder):
 def store_months(spark, folder, by):
     """Monthly totals per group key, for series with more than one line."""
     lines = t.store_lines(spark, folder)
-    with_key = lines.join(
-        read_table(spark, folder, "part").select(F.col("p_partkey").alias("Product ID"), F.col("p_type").alias(by)), "Product ID"
-    )
-    return with_key.groupBy(by, F.trunc(F.col("Order Date").cast("date"), "month").alias("month")).agg(
-        total(F.col("Sales"), 2).alias("Sales"), F.sum("Quantity").cast("bigint").alias("Quantity")
-    )
+    month = F.trunc(F.col("Order Date").cast("date"), "month").alias("month")
+    sums = [total(F.col("Sales"), 2).alias("Sales"), F.sum("Quantity").cast("bigint").alias("Quantity")]
+    kinds = read_table(spark, folder, "part").select(F.col("p_partkey").alias("Product ID"), F.col("p_type").alias(by))
+    return lines.groupBy("Product ID", month).agg(*sums).join(kinds, "Product ID").groupBy(by, "month").agg(*sums)
 
 
 def category_anomalies(spark, folder):
@@ -68,9 +66,14 @@ def category_anomalies(spark, folder):
     return text_month(trends.sales_anomalies(series, by=["Category"]))
 
 
+def sums_by(spark: SparkSession, folder: str, *keys) -> DataFrame:
+    """Sales summed per key before any join."""
+    return t.store_lines(spark, folder).groupBy(*keys).agg(total(F.col("Sales"), 2).alias("Sales"))
+
+
 def regional_revenue_pivot(spark, folder):
-    lines = t.with_region(t.with_category(t.store_lines(spark, folder), spark, folder), spark, folder)
-    return rounded(trends.revenue_pivot(lines, "Region", "Category", t.PART_TYPES, scale=2))
+    sums = sums_by(spark, folder, "Product ID", "supplier")
+    return rounded(trends.revenue_pivot(t.with_region(t.with_category(sums, spark, folder), spark, folder), scale=2))
 
 
 def seasonal_avg(spark, folder):
@@ -105,12 +108,16 @@ def top_bottom_products(spark, folder):
 
 
 def category_margin(spark, folder):
-    lines = store.derive(t.with_category(t.store_lines(spark, folder), spark, folder))
-    return rounded(trends.mean_margin(lines, "Category"))
+    margins = store.derive(t.store_lines(spark, folder)).groupBy("Product ID").agg(
+        F.sum("profit_margin").alias("margins"), F.count("profit_margin").alias("lines")
+    )
+    by = t.with_category(margins, spark, folder).groupBy("Category")
+    return rounded(by.agg((F.sum("margins") / F.sum("lines")).alias("avg_margin")))
 
 
 def region_sales(spark, folder):
-    return rounded(trends.group_revenue(t.with_region(t.store_lines(spark, folder), spark, folder), "Region", scale=2))
+    sums = sums_by(spark, folder, "supplier")
+    return rounded(trends.group_revenue(t.with_region(sums, spark, folder), "Region", scale=2))
 
 
 def region_rank_by_month(spark, folder):
@@ -133,12 +140,8 @@ def revenue_last_6_months(spark, folder):
 
 
 def month_category_matrix(spark, folder):
-    lines = t.with_category(t.store_lines(spark, folder), spark, folder)
-    return rounded(
-        trends.revenue_pivot(
-            lines.withColumn("month", F.date_format("Order Date", "yyyy-MM")), "month", "Category", t.PART_TYPES, scale=2
-        )
-    )
+    sums = sums_by(spark, folder, "Product ID", F.date_format("Order Date", "yyyy-MM").alias("month"))
+    return rounded(trends.revenue_pivot(t.with_category(sums, spark, folder), "month", scale=2))
 
 
 def store_cleaning_summary(spark, folder):
@@ -177,6 +180,9 @@ CLEAN_STORE = f"""
   from ({t.STORE})
 """
 
+# The part types that the SQL pivots, which must name its columns; the queries find them.
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
 QUERIES: dict[str, Query] = {
     "monthly_revenue_trend": Query(
         monthly_revenue_trend,
@@ -228,7 +234,7 @@ QUERIES: dict[str, Query] = {
         regional_revenue_pivot,
         "select region as \"Region\", "
         + ", ".join(
-            f"sum(sales::decimal(18,2)) filter (category = '{c}')::double as \"{c}\"" for c in t.PART_TYPES
+            f"sum(sales::decimal(18,2)) filter (category = '{c}')::double as \"{c}\"" for c in PART_TYPES
         )
         + f" from ({t.STORE}) group by 1",
     ),
@@ -285,7 +291,7 @@ QUERIES: dict[str, Query] = {
         month_category_matrix,
         "select strftime(order_date, '%Y-%m') as \"month\", "
         + ", ".join(
-            f"sum(sales::decimal(18,2)) filter (category = '{c}')::double as \"{c}\"" for c in t.PART_TYPES
+            f"sum(sales::decimal(18,2)) filter (category = '{c}')::double as \"{c}\"" for c in PART_TYPES
         )
         + f" from ({t.STORE}) group by 1",
     ),

@@ -142,10 +142,6 @@ STORE = f"""
        join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """
 
-# The part types of the test tables.
-PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-
-
 # -- financial records from lineitem -----------------------------------------------------------------
 
 
