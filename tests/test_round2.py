@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.__main__ import input_bytes, run
 from tidemark.functions import parse_number
 from tidemark.operators import trends
 from tidemark.operators.statistics import histogram
+from tidemark.plans import supply
 from tidemark.sources import checkpoints, readers
 from tidemark.streaming import live
 
@@ -105,3 +107,29 @@ def test_only_a_local_master_gets_a_temporary_folder():
         with pytest.raises(RuntimeError):
             checkpoints.shared_folder(Session(master))
     assert checkpoints.shared_folder(Session("local[2]"))
+
+
+def test_activity_job(spark, tmp_path):
+    lines = ["amount,hour,frequency_per_day,type,is_fraud"] + [f"{i},{i % 24},{i % 9},{'online' if i % 2 else 'ATM'},{int(i > 95)}" for i in range(100)]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    run(spark, "activity", str(tmp_path / "a.csv"), str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/scores").count() == 100
+    assert input_bytes(spark, str(tmp_path / "a.csv")) == (tmp_path / "a.csv").stat().st_size
+
+
+def test_ledger_columns_by_map(spark, tmp_path):
+    (tmp_path / "r.csv").write_text(
+        "id,date,vendor_id,sum,currency,region,invoice_ref,payment_status,delivery_date,created_by\n"
+        "R1,2024-01-01,V1,5,USD,N,I1,paid,2024-01-02,u\nR1,2024-01-01,V1,-1,USD,N,I2,paid,2024-01-02,u\n"
+    )
+    (tmp_path / "v.csv").write_text("vendor_id\nV1\n")
+    run(spark, "ledger", str(tmp_path / "r.csv"), str(tmp_path / "out"), str(tmp_path / "v.csv"), {"id": "record_id", "sum": "amount"})
+    report = readers.read_delimited(spark, f"{tmp_path}/out/integrity_report", {"violations": "int"})
+    found = {r["rule"].split(".")[0]: r["violations"] for r in report.collect()}
+    assert found["2"] > 0 and found["5"] == 1 and found["1"] == 0
+
+
+def test_missing_key_columns_are_reported(spark):
+    given = supply.KEY_COLUMNS[0]
+    df = spark.createDataFrame([(1,)], f"` {given}` int")
+    assert {r[0] for r in supply.missing_key_columns(df).collect()} == set(supply.KEY_COLUMNS) - {given}

@@ -12,11 +12,13 @@ from tidemark.operators.cleaning import (
     fill_missing,
     keep_existing,
     keep_positive,
+    missing_columns,
     parse_dates,
     rename,
     step_summary,
     strip_column_names,
 )
+from tidemark.sources.checkpoints import store
 
 KEY_COLUMNS = (
     "order date (DateOrders)",
@@ -83,6 +85,12 @@ def cleaning_summary(raw: DataFrame) -> DataFrame:
     return step_summary(typed(raw), filter_steps())
 
 
+def missing_key_columns(raw: DataFrame) -> DataFrame:
+    """One row for each key column that the file lacks, misspelt ones included."""
+    lacking = missing_columns(strip_column_names(raw), KEY_COLUMNS)
+    return raw.sparkSession.createDataFrame([(c,) for c in lacking], "column string")
+
+
 def overview(orders: DataFrame) -> DataFrame:
     """One row: cleaned orders, date range, departments, on-time share."""
     return orders.agg(
@@ -96,9 +104,12 @@ def overview(orders: DataFrame) -> DataFrame:
 
 def results(raw: DataFrame) -> dict[str, DataFrame]:
     """All result tables of the job by name."""
-    orders = clean(raw)
+    # Read by every table below, and parsed from text: written once.
+    parsed = store(typed(raw), "supply-parsed")
+    orders = store(derive(keep_positive(drop_missing(parsed, ["Order Date"]), "Sales", "Quantity")), "supply-orders")
     return {
-        "cleaning_summary": cleaning_summary(raw),
+        "missing_columns": missing_key_columns(raw),
+        "cleaning_summary": step_summary(parsed, filter_steps()),
         "overview": overview(orders),
         "kpi_on_time_delivery": kpi.on_time(orders),
         "kpi_avg_sales": kpi.average_sales(orders),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import anomaly, statistics, trips
 from tidemark.operators.cleaning import parse_dates
+from tidemark.sources.checkpoints import store
 from tidemark.sources.schemas import TRIP_TIME_FORMATS
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -19,10 +20,11 @@ def typed(raw: DataFrame) -> DataFrame:
 
 def results(raw: DataFrame) -> dict[str, DataFrame]:
     """All result tables of the job by name. Volumes and outliers use all trips, box plot and fares plausible ones."""
-    all_trips = trips.with_trip_features(typed(raw))
+    # Read by every table below, and parsed from text: written once.
+    all_trips = store(trips.with_trip_features(typed(raw)), "trips")
     good = trips.plausible(all_trips)
     demand = trips.demand(all_trips)
-    return {
+    tables = {
         "shape": statistics.shape(raw),
         "column_types": statistics.column_types(raw),
         "preview": statistics.preview(raw),
@@ -46,3 +48,19 @@ def results(raw: DataFrame) -> dict[str, DataFrame]:
         "medians": trips.medians(all_trips),
         "amount_by_distance": trips.amount_by_distance(all_trips),
     }
+    return tables | follow_ups(all_trips)
+
+
+def follow_ups(all_trips: DataFrame) -> dict[str, DataFrame]:
+    """Tables by pick-up zone, vendor and payment type, of those columns the file has."""
+    has = set(all_trips.columns)
+    tables = {}
+    if "PULocationID" in has:
+        tables["outliers_by_zone"] = anomaly.fence_summary_by(all_trips, "trip_duration_min", "PULocationID")
+    if "VendorID" in has:
+        tables["quality_by_vendor"] = trips.quality_by(
+            all_trips, "VendorID", zero_distance=F.col("zero_distance"), invalid_time=F.col("invalid_time")
+        )
+    if {"tip_amount", "payment_type"} <= has:
+        tables["tip_by_payment_and_hour"] = trips.mean_by(all_trips, "tip_amount", "payment_type", "pickup_hour")
+    return tables
