@@ -32,7 +32,11 @@ PREFIXES = (4, 5, 6, 7, 8)
 # Bounds of what is learned from: labelled rows taken, in the order of a hash of their id, of either label.
 TOXIC_ROWS = 8_192
 CLEAN_ROWS = 32_768
-LEXICON = 1_500
+CANDIDATES = 5_000
+# Different words that stand before a term, and the share of the most frequent one: a term of copied passages
+# stands in the same few contexts again and again.
+CONTEXTS = 8
+SAME_CONTEXT = 0.2
 EVIDENCE = 25.0
 FEATURES = 1 << 14
 THRESHOLD = 0.3
@@ -195,11 +199,36 @@ def sample(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic") -> D
     return parts[0].unionByName(parts[1])
 
 
+def terms_of(word: str) -> list[str]:
+    """A word and its beginnings."""
+    return [word, *(word[:n] + BEGINNING for n in PREFIXES if len(word) > n)]
+
+
+def freely_used(toxic: DataFrame, candidates: list[str]) -> set[str]:
+    """The candidates that stand behind many different words, none of which prevails."""
+    wanted = frozenset(candidates)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                seen: list[tuple[str, str]] = []
+                for text in texts(batch):
+                    words = WORD.findall(text.lower())
+                    seen += {(t, before) for before, word in zip(["", *words], words, strict=False) for t in terms_of(word) if t in wanted}
+                columns = [pa.array([t for t, _ in seen], pa.string()), pa.array([b for _, b in seen], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["term", "before"])
+
+    counted = toxic.mapInArrow(pairs, "term string, before string").groupBy("term", "before").agg(F.count("*").alias("n"))
+    judged = counted.groupBy("term").agg(F.count("*").alias("different"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    free = (F.col("different") >= CONTEXTS) & (F.col("most") <= SAME_CONTEXT * F.col("all"))
+    return {r.term for r in judged.where(free).collect()}
+
+
 def lexicon(examples: DataFrame) -> list[str]:
     """Words, and beginnings of longer words, that toxic documents hold far more often, by the log-likelihood ratio.
 
     ``examples`` (text, label) is bounded by ``sample``; terms are counted once a document, in Spark, and the
-    ``LEXICON`` strongest reach the driver.
+    ``CANDIDATES`` strongest reach the driver. Of these stay the ones that stand in different contexts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +242,7 @@ def lexicon(examples: DataFrame) -> list[str]:
             for batch in slices(whole, "text"):
                 for text, label in zip(texts(batch), batch.column("label").to_pylist(), strict=True):
                     words = set(WORD.findall(text.lower()))
-                    terms = words | {w[:n] + BEGINNING for w in words for n in PREFIXES if len(w) > n}
+                    terms = {t for w in words for t in terms_of(w)}
                     for term in terms:
                         held.setdefault(term, [0, 0])[label] += 1
                     if len(held) > HELD:
@@ -236,8 +265,10 @@ def lexicon(examples: DataFrame) -> list[str]:
     rated = sums.where((F.col("b") >= 5) & (F.col("b") / toxic > 4 * F.col("a") / clean)).withColumn(
         "evidence", 2 * (gain("a", clean / (clean + toxic)) + gain("b", toxic / (clean + toxic)))
     )
-    best = rated.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term").limit(LEXICON)
+    best = rated.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term").limit(CANDIDATES)
     found = {r.term: (r.evidence, r.a, r.b) for r in best.collect()}
+    free = freely_used(examples.where("label = 1"), list(found))
+    found = {t: f for t, f in found.items() if t in free}
     # The shortest beginning that clean documents hardly use stands for all that begin with it, unless one word
     # makes up most of it: that word is kept instead, as only whole words may be misspelled.
     kept: list[str] = []
