@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm.test_words import plain
@@ -98,3 +99,20 @@ def test_query_equals_all_pairs(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert result(workload.op5_jaccard(spark, folder)) == brute_force(rows, jaccard.Rule(4, 85, 100))
+
+
+def test_signatures_never_rule_out_a_link():
+    rng = np.random.default_rng(1)
+    rule = jaccard.Rule(4, 85, 100)
+    for _ in range(200):
+        pool = rng.integers(0, 2**63, 900).astype(np.uint64)
+        n = rng.integers(1, 400)
+        sets = [np.unique(pool[:n]), np.unique(pool[rng.integers(0, 1 + n // 8) : n + rng.integers(0, 1 + n // 8)]), np.unique(pool[500:900])]
+        kept = jaccard.may_be_linked(np.array([len(s) for s in sets]), [jaccard.signature(s) for s in sets], rule)
+        for i in range(3):
+            for j in range(3):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if i != j and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                    assert kept[i] and kept[j]
+    far = [np.unique(rng.integers(0, 2**63, 1450).astype(np.uint64)) for _ in range(4)]
+    assert not jaccard.may_be_linked(np.array([len(s) for s in far]), [jaccard.signature(s) for s in far], rule).any()

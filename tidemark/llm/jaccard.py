@@ -5,20 +5,22 @@ same distance from any third set. Pivots are documents; the region of a pivot ho
 be linked to another one of the region, and its distance to the pivot is computed exactly.
 
 * Candidate regions come from the prefix of a set under one global order of shingles (shingles of rare words
-  first): two linked sets share a shingle of both prefixes. Every shared shingle names as its pivot the
-  member with most shared shingles; a document belongs to the regions of its shingles' pivots and is at home
-  with the nearest. A linked pair is together in the region of its common shingle.
+  first): two linked sets are of similar size and share a shingle of both prefixes. Every shingle that several
+  documents of a size class share names as its pivot the member with most shared shingles; a document belongs
+  to the regions of its shingles' pivots. A linked pair is together in the region of its common shingle.
 * In a region, members within ``r`` of the pivot are linked to it and to each other's component. Only members
-  beyond ``r`` are open; a boundary member is needed again if its distance to the pivot is within ``r`` of an
-  open one's (triangle inequality).
-* What is open forms a smaller region without its pivot. Small ones are joined exactly in one task; a large
-  one is divided again by the same rule, with shingles ordered by how many of *its* members have them.
+  beyond ``r`` are open, and they can be linked only to members whose distance to the pivot differs by at most
+  ``r`` (triangle inequality); those boundary members stay with them.
+* What is open forms a smaller region without its pivot, and is joined by the same rule: a small region pivot
+  after pivot in one task, a large one divided again by Spark, with shingles ordered by how many of *its*
+  members have them.
 
 All copies of one set are one node. Sets stay with their documents until a region needs them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -26,6 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +40,14 @@ FREQUENT = 65_536
 FREQUENT_IN_BATCH = 8
 # A region of at most so many documents and shingles is joined in one task.
 LEAF_DOCUMENTS = 2_000
-LEAF_SHINGLES = 500_000
+LEAF_SHINGLES = 1_000_000
+# Regions of up to so many members are thinned by signatures before sets are moved.
+PRUNED = 3_000
+MIN_BITS = 512
 SLACK = 1e-9
+# Bits of the filter that keeps texts of other documents where they are, and the key of rows without an id.
+BITS = 1 << 25
+NO_ID = -(2**63)
 
 
 class Rule(NamedTuple):
@@ -90,23 +99,101 @@ def set_hash(members: np.ndarray) -> int:
     return mark - 2**64 if mark >= 2**63 else mark
 
 
-def prefix_keys(words: np.ndarray, weight: np.ndarray, rule: Rule) -> tuple[int, int, np.ndarray]:
-    """(set size, hash of the set, keys of the prefix) of one text's words.
+def prefix_keys(words: np.ndarray, weight: np.ndarray, rule: Rule) -> tuple[int, int, np.ndarray, bytes]:
+    """(set size, hash of the set, keys of the prefix, signature) of one text's words.
 
     A key is the summed weight of the shingle's words, then its hash: ascending keys are the global order.
     """
     if not words.size:
-        return 0, 0, np.zeros(0, np.int64)
+        return 0, 0, np.zeros(0, np.int64), b""
     n = min(rule.words, words.size)
     heavy = np.convolve(weight.astype(np.int64), np.ones(n, np.int64), "valid")
     hashes = windows(words, n)
     whole = np.unique(hashes)
     keys = np.unique((np.minimum(heavy, 255).astype(np.uint64) << np.uint64(55)) | (hashes >> np.uint64(9)))
-    return whole.size, set_hash(whole), keys[: rule.prefix(whole.size)].view(np.int64)
+    return whole.size, set_hash(whole), keys[: rule.prefix(whole.size)].view(np.int64), signature(whole)
+
+
+def signature(members: np.ndarray) -> bytes:
+    """Parity of the number of members that fall on each bit. Two signatures differ in no more bits than the sets
+    differ in members. Twice as many bits as members, a power of two, so folding halves gives a shorter one."""
+    bits = max(MIN_BITS, 1 << (2 * members.size - 1).bit_length())
+    odd = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(mark: np.ndarray, words: int) -> np.ndarray:
+    """A signature (64-bit words) as one of fewer bits."""
+    while mark.size > words:
+        mark = mark[: mark.size // 2] ^ mark[mark.size // 2 :]
+    return mark
+
+
+def may_be_linked(sizes: np.ndarray, marks: list[bytes], rule: Rule) -> np.ndarray:
+    """Which members of a region could be linked to another one, by their sizes and signatures."""
+    order = np.argsort(sizes, kind="stable")
+    n, views = sizes[order], [np.frombuffer(marks[i], "<u8") for i in order]
+    lengths = np.array([v.size for v in views])
+    found = np.zeros(len(n), bool)
+    length, first, stacked = 0, 0, np.zeros((0, 0), np.uint64)
+    for i in range(len(n)):
+        high = int(np.searchsorted(n, n[i] * rule.per // rule.share, "right"))
+        if high <= i + 1:
+            continue
+        if lengths[i] != length:
+            # Sizes within a factor of two have signatures of this length or the double one.
+            length, first = int(lengths[i]), i
+            last = int(np.searchsorted(n, 2 * n[lengths == length].max(), "right"))
+            stacked = np.stack([folded(v, length) for v in views[first:last]])
+        apart = np.bitwise_count(stacked[i + 1 - first : high - first] ^ views[i]).sum(axis=1, dtype=np.int64)
+        near = apart * (rule.per + rule.share) <= (rule.per - rule.share) * (n[i + 1 : high] + n[i])
+        found[i] |= near.any()
+        found[i + 1 : high] |= near
+    back = np.zeros(len(n), bool)
+    back[order] = found
+    return back
+
+
+def promising(found: DataFrame, described_: DataFrame, rule: Rule) -> DataFrame:
+    """(region, pivot, node, n) of regions without the members whose signature rules out every link there.
+
+    Signatures, a thirtieth of the sets, are moved for this instead of the sets.
+    """
+    marks = described_.where("n > 0").groupBy("node").agg(F.min("signature").alias("signature"))
+    joined = found.join(marks, "node").select("region", "pivot", "node", "n", "signature")
+    ready = joined.repartition("region").sortWithinPartitions("region")
+
+    def chosen(table: pa.Table) -> pa.RecordBatch:
+        region = table.column("region").to_numpy()
+        sizes = table.column("n").to_numpy()
+        marks_ = table.column("signature").to_pylist()
+        starts = np.flatnonzero(np.concatenate(([True], region[1:] != region[:-1])))
+        keep = np.zeros(len(region), bool)
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(region)], strict=True):
+            keep[a:b] = may_be_linked(sizes[a:b], marks_[a:b], rule)
+        names = ["region", "pivot", "node", "n"]
+        rows = table.select(names).filter(pa.array(keep)).combine_chunks()
+        return pa.RecordBatch.from_arrays([rows.column(i).combine_chunks() for i in range(4)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]) if held is not None else table
+            region = held.column("region").to_numpy()
+            # The last region may go on in the next batch.
+            last = int(np.flatnonzero(region == region[-1])[0]) if len(region) else 0
+            if last:
+                yield chosen(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield chosen(held)
+
+    return ready.mapInArrow(run, "region bigint, pivot bigint, node bigint, n bigint")
 
 
 def described(docs: DataFrame, rule: Rule, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Per document: ``doc_id``, ``n``, ``node`` (hash of its set), ``keys`` of its prefix."""
+    """Per document: ``doc_id``, ``n``, ``node`` (hash of its set), ``keys`` of its prefix, ``signature``."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -121,54 +208,83 @@ def described(docs: DataFrame, rule: Rule, frequent: tuple[np.ndarray, np.ndarra
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.int64()),
                 pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                pa.array([r[3] for r in rows], pa.binary()),
             ],
-            names=["doc_id", "n", "node", "keys"],
+            names=["doc_id", "n", "node", "keys", "signature"],
         )
 
-    return map_batches(docs, work, "doc_id bigint, n bigint, node bigint, keys array<bigint>")
+    return map_batches(docs, work, "doc_id bigint, n bigint, node bigint, keys array<bigint>, signature binary")
+
+
+def bitmap(ids: DataFrame) -> DataFrame:
+    """(word, bits): a bit for the hash of every ``doc_id``, 64 in a row; ``BITS / 64`` rows at most, however many ids."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+    rows = ids.select(bit.alias("bit")).selectExpr("shiftright(bit, 6) as word", "shiftleft(1L, cast(bit & 63 as int)) as bits")
+    return rows.groupBy("word").agg(F.bit_or("bits").alias("bits"))
 
 
-def shingle_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Per text: ``members``, the sorted distinct shingle hashes, and ``node``."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, carried: str, rule: Rule) -> DataFrame:
+    """(node, members, ``carried`` column) for ``wanted`` (doc_id, node, carried): the sets of these documents only.
+
+    A bitmap of fixed size, broadcast, drops most other documents before texts are moved; the join decides.
+    """
+    kind = dict(wanted.dtypes)[carried]
+    wanted = wanted.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "node", carried)
+    bits = F.broadcast(store(bitmap(wanted.select(F.col("key").alias("doc_id"))), "bitmap"))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text").withColumn(
+        "bit", F.pmod(F.xxhash64("key"), F.lit(BITS))
+    )
+    maybe = keyed.withColumn("word", F.shiftright("bit", 6)).join(bits, "word")
+    maybe = maybe.where(F.expr("bits & shiftleft(1L, cast(bit & 63 as int)) <> 0")).select("key", "text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, at = hash_words(texts(batch))
         sets = [shingles(words[a:b], rule.words) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        nodes = [set_hash(s) for s in sets]
-        sets = [s.view(np.int64) for s in sets]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "members"]
-        )
+        members = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+        named = pa.array([set_hash(s) for s in sets], pa.int64())
+        found = pa.RecordBatch.from_arrays([named, members, batch.column(carried)], names=["node", "members", carried])
+        # An id whose rows differ in text has several nodes; each row gives its own.
+        return found.filter(pa.compute.equal(named, batch.column("node")))
 
-    return map_batches(docs, work, "node bigint, members array<bigint>")
+    joined = maybe.join(wanted, "key").select("text", "node", carried)
+    return map_batches(joined, work, f"node bigint, members array<bigint>, {carried} {kind}")
 
 
-def regions(keys: DataFrame) -> DataFrame:
-    """(region, pivot, node) from (region, key, node): a region for every pivot that a shared key names.
+def regions(keys: DataFrame, rule: Rule) -> DataFrame:
+    """(region, pivot, node, n) from (region, key, node, n): a region for every pivot that a shared key names.
 
     Keys of one node only are dropped by an aggregate with map-side combining; the pivot of a key is the node
-    with most shared keys. No group is ever listed.
+    with most shared keys. Linked sizes differ by a factor of at most ``per / share``, one size class: a node
+    stands in its own class and the next, and keys name pivots class by class. No group is ever listed.
     """
     by = ["region", "key"]
-    shared = (
-        keys.groupBy(*by)
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low <> high")
-        .select(*by)
-    )
+    shared = keys.groupBy(*by).agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     # Aggregates are written before they are joined: a join of two plain exchanges lets Spark split hot keys.
-    members = store(keys.join(store(shared, "shared"), by).select(*by, "node").distinct(), "members")
+    members = keys.join(store(shared.select(*by), "shared"), by).select(*by, "node", "n").distinct()
+    width = math.log(rule.per / rule.share) + 1e-6
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
+    members = store(members.select("*", F.explode(F.array(own, own + 1)).alias("class")), "members")
     central = members.groupBy("region", "node").agg(F.count("*").alias("links"))
     ranked = members.join(central, ["region", "node"])
-    named = ranked.groupBy(*by).agg(F.max(F.struct("links", "node")).alias("best")).select(*by, "best.node")
-    named = named.withColumnRenamed("node", "pivot")
-    found = members.join(store(named, "named"), by).select("region", "pivot", "node").distinct()
-    return found.select(F.xxhash64("region", "pivot").alias("region"), "pivot", "node")
+    named = (
+        ranked.groupBy(*by, "class")
+        .agg(F.max(F.struct("links", "node")).alias("best"), F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low <> high")
+        .select(*by, "class", F.col("best.node").alias("pivot"))
+    )
+    found = members.join(store(named, "named"), [*by, "class"]).select("region", "pivot", "node", "n").distinct()
+    return found.select(F.xxhash64("region", "pivot").alias("region"), "pivot", "node", "n")
+
+
+def sized(found: DataFrame) -> DataFrame:
+    """(region, count, large) of regions of several members; one task should not join a large one."""
+    sizes = found.groupBy("region").agg(F.count("*").alias("count"), F.sum("n").alias("total")).where("count > 1")
+    return sizes.select("region", "count", ((F.col("count") > LEAF_DOCUMENTS) | (F.col("total") > LEAF_SHINGLES)).alias("large"))
 
 
 def distances(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(region, pivot, node, n, distance, linked) of every member that is not the pivot itself."""
-    own = found.where("node <> pivot").join(sets, "node")
+    own = found.where("node <> pivot").drop("n").join(sets, "node")
     pivots = sets.select(F.col("node").alias("pivot"), F.col("members").alias("centre"))
     both = own.join(pivots, "pivot")
     common = F.size(F.array_intersect("members", "centre")).cast("bigint")
@@ -194,76 +310,113 @@ def still_open(measured: DataFrame, rule: Rule) -> DataFrame:
         ~F.col("linked") | (F.col("distance") >= F.col("nearest") - F.lit(rule.radius + SLACK))
     )
     near = store(near.select("region", "node", "n", "linked"), "open")
-    sizes = near.groupBy("region").agg(F.count("*").alias("count"), F.sum("n").alias("total")).where("count > 1")
-    large = (F.col("count") > LEAF_DOCUMENTS) | (F.col("total") > LEAF_SHINGLES)
-    return near.join(store(sizes.select("region", large.alias("large")), "sizes"), "region")
+    return near.join(store(sized(near), "sizes"), "region")
+
 
+def leaf(nodes: np.ndarray, members: list[np.ndarray], done: np.ndarray, first: int, rule: Rule) -> list[tuple[int, int]]:
+    """Links that connect what is linked in one small region; members that are ``done`` are one component already.
 
-def leaf_links(near: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links (node, other) that connect what is linked in each small region; exact, in one task a region."""
+    The first pivot orders the members by their distance to it; every later pivot is compared with the members
+    of its window only.
+    """
+    sizes = np.array([len(m) for m in members])
+    codes = np.unique(np.concatenate(members), return_inverse=True)[1]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    inside = np.zeros(int(codes.max()) + 1, np.int64)
+
+    def shared_with(i: int, low: int, high: int) -> np.ndarray:
+        inside[codes[at[i] : at[i + 1]]] = 1
+        common = np.add.reduceat(inside[codes[at[low] : at[high]]], at[low:high] - at[low])
+        inside[codes[at[i] : at[i + 1]]] = 0
+        return common
+
+    common = shared_with(first, 0, len(nodes))
+    distance = 1 - common / (sizes + sizes[first] - common)
+    order = np.argsort(distance, kind="stable")
+    codes = np.concatenate([codes[at[i] : at[i + 1]] for i in order])
+    nodes, sizes, done, distance = nodes[order], sizes[order], done[order], distance[order]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    part = np.where(done, -1, np.arange(len(nodes)))
+    links = []
+    for i in range(len(nodes)):
+        if done[i]:
+            continue
+        low = int(np.searchsorted(distance, distance[i] - rule.radius - SLACK))
+        high = int(np.searchsorted(distance, distance[i] + rule.radius + SLACK, "right"))
+        near = part[low:high]
+        if (near == part[i]).all():
+            continue
+        common = shared_with(i, low, high)
+        linked = rule.per * common >= rule.share * (sizes[low:high] + sizes[i] - common)
+        for other in np.unique(near[linked & (near != part[i])]):
+            j = low + int(np.flatnonzero(linked & (near == other))[0])
+            links.append((int(nodes[i]), int(nodes[j])))
+            part[part == other] = part[i]
+            near = part[low:high]
+    return links
+
+
+def leaf_links(small: DataFrame, rule: Rule) -> DataFrame:
+    """Links (node, other) of small regions, from (region, pivot, node, linked, members); a region in one task."""
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
         nodes = group["node"].to_numpy()
-        members = group["members"].to_list()
-        sizes = np.array([len(m) for m in members])
-        codes = np.unique(np.concatenate(members), return_inverse=True)[1]
-        at = np.concatenate(([0], np.cumsum(sizes)))
-        inside = np.zeros(codes.max() + 1, np.int64)
-        done = group["linked"].to_numpy()
-        # Component of each member: those linked to the pivot are one already.
-        part = np.where(done, -1, np.arange(len(nodes)))
-        links = []
-        for i in np.flatnonzero(~done):
-            mine = codes[at[i] : at[i + 1]]
-            inside[mine] = 1
-            common = np.add.reduceat(inside[codes], at[:-1])
-            inside[mine] = 0
-            linked = rule.per * common >= rule.share * (sizes + sizes[i] - common)
-            for other in np.unique(part[linked & (part != part[i])]):
-                j = int(np.flatnonzero(linked & (part == other))[0])
-                links.append((int(nodes[i]), int(nodes[j])))
-                part[part == other] = part[i]
-        return pd.DataFrame(links, columns=["node", "other"])
-
-    small = near.where("not large").select("region", "node", "linked").join(sets, "node")
+        first = int(np.argmax(nodes == group["pivot"].iloc[0]))
+        links = leaf(nodes, group["members"].to_list(), group["linked"].to_numpy(), first, rule)
+        return pd.DataFrame(links, columns=["node", "other"], dtype="int64")
+
     return small.groupBy("region").applyInPandas(join, "node bigint, other bigint")
 
 
 def local_keys(near: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """(region, key, node) of the prefixes of large regions, shingles of few members of the region first."""
+    """(region, key, node, n) of the prefixes of large regions, shingles of few members of the region first."""
     every = (
-        near.where("large").select("region", "node").join(sets, "node").select("region", "node", F.explode("members").alias("key"))
+        near.where("large").select("region", "node", "n").join(sets, "node").select("region", "node", "n", F.explode("members").alias("key"))
     )
     often = every.groupBy("region", "key").agg(F.count("*").alias("often"))
-    ordered = every.join(store(often, "often"), ["region", "key"]).groupBy("region", "node").agg(
+    ordered = every.join(store(often, "often"), ["region", "key"]).groupBy("region", "node", "n").agg(
         F.sort_array(F.collect_list(F.struct("often", "key"))).alias("all")
     )
-    n = F.size("all")
-    length = n - F.ceil(n * F.lit(rule.share) / F.lit(rule.per)).cast("int") + 1
-    return ordered.select("region", "node", F.explode(F.slice("all", F.lit(1), length)).alias("one")).select(
-        "region", "one.key", "node"
+    length = (F.col("n") - F.ceil(F.col("n") * F.lit(rule.share) / F.lit(rule.per)) + 1).cast("int")
+    return ordered.select("region", "node", "n", F.explode(F.slice("all", F.lit(1), length)).alias("one")).select(
+        "region", "one.key", "node", "n"
     )
 
 
 def links(described_: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Links (node, other) whose components are those of all linked pairs of sets."""
-    first = described_.where("n > 0").select(F.lit(0).cast("bigint").alias("region"), F.explode("keys").alias("key"), "node")
-    found = store(regions(first), "regions")
-    wanted = store(found.select("node").distinct(), "wanted")
-    # One document of each set gives the set; only these texts are read again.
-    ids = described_.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = ids.select(F.col("doc_id").alias("wanted_id"))
-    sets = shingle_sets(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi"), rule)
-    sets = store(sets.dropDuplicates(["node"]), "sets")
-    parts = []
-    while True:
+    first = described_.where("n > 0").select(
+        F.lit(0).cast("bigint").alias("region"), F.explode("keys").alias("key"), "node", "n"
+    )
+    found = store(regions(first, rule), "regions")
+    found = found.join(store(sized(found), "sizes"), "region")
+    thin = promising(found.where(F.col("count") <= PRUNED), described_, rule)
+    found = store(thin.unionByName(found.where(F.col("count") > PRUNED).select(*thin.columns)), "promising")
+    found = found.join(store(sized(found), "sizes"), "region")
+    # A pivot measures distances in its region also where its own signature has ruled it out.
+    nodes = store(found.select("node").unionByName(found.select(F.col("pivot").alias("node"))).distinct(), "nodes")
+    ids = described_.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # Small regions are joined as they are; each document's text is read once for all its regions.
+    homes = found.where("not large").groupBy("node").agg(F.collect_list(F.struct("region", "pivot")).alias("homes"))
+    placed = shingle_sets(docs, ids.join(homes, "node"), "homes", rule)
+    placed = placed.select("node", "members", F.explode("homes").alias("home")).select(
+        "home.region", "home.pivot", "node", F.lit(False).alias("linked"), "members"
+    )
+    parts = [store(leaf_links(placed, rule), "leaf")]
+    found = found.where("large")
+    if not found.isEmpty():
+        named = found.select("node").unionByName(found.select(F.col("pivot").alias("node"))).distinct()
+        wanted = ids.join(named, "node").withColumn("any", F.lit(True))
+        sets = store(shingle_sets(docs, wanted, "any", rule).select("node", "members"), "sets").dropDuplicates(["node"])
+    while not found.isEmpty():
         measured = store(distances(found, sets, rule), "distances")
         parts.append(measured.where("linked").select("node", F.col("pivot").alias("other")))
         near = store(still_open(measured, rule), "near")
-        parts.append(store(leaf_links(near, sets, rule), "leaf"))
-        if near.where("large").isEmpty():
-            return reduce(DataFrame.unionByName, parts)
-        found = store(regions(local_keys(near, sets, rule)), "regions")
+        small = near.where("not large").join(sets, "node").withColumn("pivot", F.col("node"))
+        parts.append(store(leaf_links(small.select("region", "pivot", "node", "linked", "members"), rule), "leaf"))
+        found = store(regions(local_keys(near, sets, rule), rule), "regions")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def components(edges: DataFrame) -> DataFrame:
