@@ -9,9 +9,9 @@ from tidemark.llm import imatch, workload
 from tidemark.llm.words import hash_words
 
 
-def chain(rows):
-    """(id, text, edited text, next text) by definition."""
-    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+def chain(rows, ties=None):
+    """(id, text, edited text, next text) by definition; ``ties`` orders the texts of equal ids."""
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (ties or {}).get(r[1] or "", 0)))
     for i, (doc, text) in enumerate(ordered):
         text, following = text or "", ordered[(i + 1) % len(ordered)][1] or ""
         half = len(text) // 2
@@ -20,10 +20,12 @@ def chain(rows):
 
 def check(spark, df, rows, terms):
     make = imatch.Fingerprinter(terms)
+    hashes = spark.createDataFrame([(t or "",) for _, t in rows], "t string").selectExpr("t", "xxhash64(t) as h").collect()
+    ties = {r.t: r.h for r in hashes}
     one = lambda t: make(hash_words([t])[0])
     want = [
         (repr(d), len(t), hashlib.sha256(e.encode()).hexdigest(), one(t), one(e), imatch.likeness(one(t), one(e)), imatch.likeness(one(t), one(n)))
-        for d, t, e, n in chain(rows)
+        for d, t, e, n in chain(rows, ties)
     ]
     got = [
         (repr(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next)

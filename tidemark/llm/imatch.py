@@ -9,6 +9,7 @@ subsets; documents that share none of the hashes are unlike.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pick, slices, store, texts
+from tidemark.llm.common import BATCH_BYTES, pick, slices, store, texts
 from tidemark.llm.words import hash_words, mixed
 
 LOW, HIGH = 0.0005, 0.1
@@ -155,21 +156,30 @@ def robustness(df: DataFrame, terms: np.ndarray, doc_id: str = "doc_id", text: s
     """Per document: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, and its likeness to its edited
     text (``near_edited``) and to the next document (``near_next``), by descending id; the first follows the last.
 
-    A null text counts as empty. Rows without an id come last; rows of equal id follow each other by text. A
+    A null text counts as empty. Rows without an id come last; rows of equal id follow each other by a hash of their text. A
     single document follows itself; an empty table gives an empty table; other columns are ignored.
 
-    Texts are moved once, into ranges of ids. A range compares its neighbours as it reads them, and passes on only its first
+    Texts are moved once, compressed, into ranges of ids. A range compares its neighbours as it reads them, and passes on only its first
     and last document; those are paired by their ids, two for each range.
     """
-    docs = pick(df, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    body = F.coalesce("text", F.lit(""))
+    docs = pick(df, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint"), F.xxhash64(body).alias("tie"), body.alias("text"))
     shared = df.sparkSession.sparkContext.broadcast(terms)
-    order = [F.desc_nulls_last("doc_id"), F.asc("text")]
+    order = [F.desc_nulls_last("doc_id"), F.asc("tie")]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                packed = [zlib.compress(t.encode("utf-8"), 1) for t in texts(batch)]
+                columns = [batch.column("doc_id"), batch.column("tie"), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "packed"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, last = Chain(shared.value), None
         for whole in batches:
-            for batch in slices(whole, "text"):
-                docs_ = list(zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True))
+            for batch in slices(whole, "packed", BATCH_BYTES // 4):
+                bodies = [zlib.decompress(p).decode("utf-8") for p in batch.column("packed").to_pylist()]
+                docs_ = list(zip(batch.column("doc_id").to_pylist(), bodies, strict=True))
                 if last is None:
                     yield batch_of([("head", docs_[0][0], *[None] * 6, docs_[0][1])])
                 docs_ = ([last] if last else []) + docs_
@@ -178,6 +188,7 @@ def robustness(df: DataFrame, terms: np.ndarray, doc_id: str = "doc_id", text: s
         if last:
             yield batch_of([("tail", last[0], *[None] * 6, last[1])])
 
+    docs = docs.mapInArrow(pack, "doc_id bigint, tie bigint, packed binary")
     ranged = docs.repartitionByRange(F.desc_nulls_last("doc_id")).sortWithinPartitions(*order)
     found = ranged.mapInArrow(walk, SCHEMA).withColumn("range", F.spark_partition_id())
     found = store(found, "chain")
