@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches, pick, texts
 
 # Pieces whose ids one task remembers before it starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 SCHEMA = "doc_id bigint, ids binary, decoded binary"
 
 
@@ -82,11 +82,20 @@ class Prefixes:
         """Add bytes at the end; entries of earlier prefixes stay as they are."""
         v, last = self.vocabulary, self.last
         piece = self.piece = self.piece + more
-        get, longest, neighbours = v.ranks.get, v.longest, v.neighbours
+        get, longest, whole, pairs = v.ranks.get, v.longest, v.whole.get, v.pairs.get
         for end in range(len(last) + 1, len(piece) + 1):
             for begin in range(max(0, end - longest), end):
                 token = get(piece[begin:end])
-                if token is not None and v.reachable(token) and (not begin or neighbours(last[begin - 1], token)):
+                if token is None:
+                    continue
+                fits = whole(token)
+                if fits is None:
+                    fits = v.reachable(token)
+                if fits and begin:
+                    fits = pairs((last[begin - 1], token))
+                    if fits is None:
+                        fits = v.neighbours(last[begin - 1], token)
+                if fits:
                     last.append(token)
                     break
             else:
