@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -133,3 +134,11 @@ def test_missing_key_columns_are_reported(spark):
     given = supply.KEY_COLUMNS[0]
     df = spark.createDataFrame([(1,)], f"` {given}` int")
     assert {r[0] for r in supply.missing_key_columns(df).collect()} == set(supply.KEY_COLUMNS) - {given}
+
+
+def test_stored_tables_can_be_discarded(spark, monkeypatch):
+    monkeypatch.setattr(checkpoints, "_stored", [])
+    table = checkpoints.store(spark.range(3).toDF("i"), "gone")
+    folder = table.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    assert checkpoints.discard(spark) == 1 and not os.path.exists(folder)

@@ -17,6 +17,7 @@ from tidemark import session
 from tidemark.operators.cleaning import rename
 from tidemark.plans import activity, dashboard, financials, fraud, ledger, store, supply, taxi
 from tidemark.sources import read_delimited, schemas, write_delimited, write_lines
+from tidemark.sources.checkpoints import discard
 
 LATIN_1 = "ISO-8859-1"
 
@@ -80,7 +81,10 @@ def main(arguments: list[str] | None = None) -> None:
     spark = session.build(f"tidemark-{a.job}", a.master, conf)
     for key, value in session.sized(input_bytes(spark, a.input), spark.sparkContext.defaultParallelism).items():
         spark.conf.set(key, value)
-    run(spark, a.job, a.input, a.output, a.vendors, json.loads(a.columns) if a.columns else None)
+    try:
+        run(spark, a.job, a.input, a.output, a.vendors, json.loads(a.columns) if a.columns else None)
+    finally:
+        discard(spark)
 
 
 if __name__ == "__main__":

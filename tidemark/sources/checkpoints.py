@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# Tables that ``store`` wrote in this process, for ``discard``.
+_stored: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,5 +37,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def store(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table used several times and read it back: no recomputation, pruned scans, short lineage."""
     path = fresh_path(df.sparkSession, name)
+    _stored.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession) -> int:
+    """Delete the tables that ``store`` wrote in this process, once nothing reads them any more; how many there were."""
+    files, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    n = len(_stored)
+    while _stored:
+        path = files.Path(_stored.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
