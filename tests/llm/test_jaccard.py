@@ -66,8 +66,7 @@ def corpus(seed):
     return [(i * 3, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("leaf", [2_000, 3])
+@pytest.mark.parametrize(("seed", "leaf"), [(1, 2_000), (2, 3)])
 def test_equals_all_pairs(spark, monkeypatch, seed, leaf):
     monkeypatch.setattr(jaccard, "LEAF_DOCUMENTS", leaf)
     rows = corpus(seed)
