@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 def test_shapes():
     shapes = quality.Shapes()
-    assert [shapes[w] for w in ("Haus,", "###", "a1b22!!", "ÉTÉ", "")] == ["Xx,", "#", "x9x9!", "X", ""]
+    assert [shapes[w][0] for w in ("Haus,", "###", "a1b22!!", "ÉTÉ", "")] == ["Xx,", "#", "x9x9!", "X", ""]
 
 
 def test_posteriors_recover_planted_accuracies():

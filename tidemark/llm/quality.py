@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +37,22 @@ FUNCTION_WORDS = frozenset(
     el los las y del se por con para una su al lo como más no""".split()
 )
 RUN = re.compile(r"(.)\1+", re.DOTALL)
-SHAPES = (("A-ZÀ-ÖØ-Þ", "X"), ("a-zß-öø-ÿ", "x"), ("0-9", "9"))
-CLASSES = [(re.compile(f"[{c}]+"), to) for c, to in SHAPES]
+LETTERS = {c: "X" if chr(c).isupper() else "x" for c in range(0x250) if chr(c).isupper() or chr(c).islower()}
+CLASSES = LETTERS | {c: "9" for c in range(ord("0"), ord("9") + 1)}
 
 
 def shape(word: str) -> str:
     """Runs of capitals, small letters, digits and equal marks as one character each."""
-    word = word[:SHAPE]
-    for expression, to in CLASSES:
-        word = expression.sub(to, word)
-    return RUN.sub(r"\1", word)
+    return RUN.sub(r"\1", word[:SHAPE].translate(CLASSES))
 
 
 class Shapes(dict):
-    """Shapes of words seen before."""
+    """Shapes of words seen before, and whether they are function words."""
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> tuple[str, bool]:
         if len(self) > 200_000:
             self.clear()
-        found = self[word] = shape(word)
+        found = self[word] = (shape(word), word.strip(".,;:!?").lower() in FUNCTION_WORDS)
         return found
 
 
@@ -65,14 +63,18 @@ class Facts:
         words = text.split()
         n = self.n = len(words)
         counts = Counter(words)
-        self.shapes = Counter()
+        self.shapes: dict[str, int] = {}
+        function = 0
         for word, times in counts.items():
-            self.shapes[shapes[word]] += times
+            form, frequent = shapes[word]
+            self.shapes[form] = self.shapes.get(form, 0) + times
+            if frequent:
+                function += times
         share = lambda total: total / n if n else 0.0
-        self.stutter = share(sum(a == b for a, b in zip(words, words[1:], strict=False)))
+        self.stutter = share(sum(map(eq, words, words[1:])))
         self.distinct = len(counts) / min(n, 200) if n else 0.0
         self.top = share(max(counts.values(), default=0))
-        self.function = share(sum(times for word, times in counts.items() if word.strip(".,;:!?").lower() in FUNCTION_WORDS))
+        self.function = share(function)
         marks = {s: sum(c in "!#$%&*|<>{}[]=~^\\/_+@" for c in s) for s in self.shapes}
         self.marked = share(sum(t for s, t in self.shapes.items() if marks[s]))
         self.bare = share(sum(t for s, t in self.shapes.items() if not any(c in "Xx9" or c.isalnum() for c in s)))
