@@ -23,8 +23,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without line chunks that another one holds; those of which nothing is left go."""
-    found = line_chunks.remove_repeated(docs, removed="line_chunks_removed").where("line_chunks_removed = 0 or text <> ''")
+    """Documents without line chunks and runs of lines that another one holds; those of which nothing is left go."""
+    found = line_chunks.remove_repeated(docs, line_chunks.Chunking(runs="all"), removed="line_chunks_removed").where("line_chunks_removed = 0 or text <> ''")
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(F.col("line_chunks_removed") > 0, length).otherwise(F.col("n_chars")))
