@@ -83,3 +83,12 @@ def test_query(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     rows = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in workload.op2_personal(spark, folder).collect()}
     assert rows == {d.doc_id: base(d.text)[0] for d in docs}
+
+
+def test_no_context_is_left_out(spark, monkeypatch):
+    """Contexts beyond one block reveal values as well."""
+    monkeypatch.setattr(personal, "CANDIDATES", 2)
+    rows = [(100 * c + i, f"pad words here ctx{c} reach{c} user{c}x{i}@mail.example.com today") for c in range(7) for i in range(5 + c)]
+    rows += [(1000 + c, f"so ctx{c} reach{c} hidden-{c} today") for c in range(7)]
+    found = {r.doc_id: r.n_found for r in personal.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: n for d, n in found.items() if n} == {1000 + c: 1 for c in range(7)}

@@ -10,6 +10,8 @@ functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ CARD = r"[0-9](?:[ -]?[0-9]){13,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-# Different seed values that make a context a candidate, and how many candidates are looked for.
+# Different seed values that make a context a candidate, and how many candidates are looked for in one pass; there
+# are as many passes as all of them need.
 SUPPORT = 3
 CANDIDATES = 20_000
 # Share of a pattern's different values that must be seeds, and belief from which a value is a span.
@@ -85,18 +88,18 @@ def seeds(first: DataFrame) -> DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """(context, kind) of the contexts of most different seeds; at most ``CANDIDATES`` of them."""
+    """(context, kind) of the contexts of ``SUPPORT`` different seeds or more."""
     values = found.groupBy("context", "kind", "value").agg(F.count("*").alias("times"))
     counted = values.groupBy("context", "kind").agg(F.count("*").alias("different"))
     best = counted.groupBy("context").agg(F.max("different").alias("support"), F.sum("different").alias("all"))
     named = counted.join(best, "context").where("different = support").groupBy("context", "support").agg(F.min("kind").alias("kind"))
-    return named.where(F.col("support") >= SUPPORT).orderBy(F.desc("support"), "context").limit(CANDIDATES).select("context", "kind")
+    return named.where(F.col("support") >= SUPPORT).select("context", "kind")
 
 
 def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
     """(row, at, context, kind, token) for every place of a known context; ``at`` is the number of the word.
 
-    ``known`` is bounded and broadcast; the words of all texts stream by it.
+    ``known`` is one of the ``blocks``, bounded and broadcast; the words of all texts stream by it.
     """
     every = words(F.col("text"))
     pairs = spans.bound(every, lambda w: F.transform(w, lambda x, i: F.struct(F.lower(F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1))).alias("context"), x.alias("token"))))
@@ -104,6 +107,12 @@ def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
     return flat.select("row", "at", "p.context", "p.token").join(F.broadcast(known), "context")
 
 
+def blocks(known: DataFrame) -> list[DataFrame]:
+    """The known contexts in parts of about ``CANDIDATES``; a context is in one part."""
+    n = max(1, -(-known.count() // CANDIDATES))
+    return [known.where(F.pmod(F.xxhash64("context"), F.lit(n)) == i) for i in range(n)] if n > 1 else [known]
+
+
 def trimmed(token: Column) -> Column:
     return F.btrim(token, F.lit(EDGES))
 
@@ -128,10 +137,13 @@ def discovered(texts: DataFrame, first: DataFrame) -> DataFrame:
     """(row, kind, start, end) of the values that contexts reveal."""
     found = store(seeds(first), "seeds")
     known = store(candidates(found), "candidates")
-    seen = occurrences(texts, known).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
+    counted = []
+    for block in blocks(known):
+        seen = occurrences(texts, block).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
+        counted.append(store(seen.groupBy("context", "kind", "value").agg(F.count("*").alias("times")), "counted"))
+    counted = reduce(DataFrame.unionByName, counted)
     # A seed of several words is extracted by its first word.
     head = found.select("kind", F.lower(trimmed(F.get(words(F.col("value")), F.lit(0)))).alias("value"), "context").distinct()
-    counted = seen.groupBy("context", "kind", "value").agg(F.count("*").alias("times"))
     marked = counted.join(store(head.withColumn("seed", F.lit(True)), "heads"), ["context", "kind", "value"], "left").withColumn(
         "seed", F.coalesce("seed", F.lit(False))
     )
@@ -140,8 +152,12 @@ def discovered(texts: DataFrame, first: DataFrame) -> DataFrame:
     plausible = store(share.where(F.col("share") >= PLAUSIBLE).select("context", "kind"), "plausible")
     edges = store(marked.join(plausible, ["context", "kind"]).select("context", "kind", "value", "seed"), "edges")
     believed = score(edges).where(F.col("belief") >= BELIEVED).select("kind", "value")
-    places = occurrences(texts, plausible).withColumn("value", F.lower(trimmed(F.col("token"))))
-    places = store(places, "places").join(store(believed, "believed"), ["kind", "value"])
+    believed = store(believed, "believed")
+    places = []
+    for block in blocks(plausible):
+        seen = occurrences(texts, block).withColumn("value", F.lower(trimmed(F.col("token"))))
+        places.append(store(seen, "places").join(believed, ["kind", "value"]))
+    places = reduce(DataFrame.unionByName, places)
     placed = texts.join(places.select("row", "at", "kind", "token").distinct(), "row")
     before = F.aggregate(F.slice(words(F.col("text")), F.lit(1), F.col("at")), F.lit(0), lambda a, w: a + F.length(w) + 1)
     start = before + F.length("token") - F.length(F.ltrim("token", F.lit(EDGES)))
