@@ -92,3 +92,16 @@ def test_no_context_is_left_out(spark, monkeypatch):
     rows += [(1000 + c, f"so ctx{c} reach{c} hidden-{c} today") for c in range(7)]
     found = {r.doc_id: r.n_found for r in personal.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {d: n for d, n in found.items() if n} == {1000 + c: 1 for c in range(7)}
+
+
+def test_a_context_has_all_its_kinds(spark):
+    """Phones in a context of more emails; an unseen value that phones' own context shows too is a phone."""
+    rows = [(i, f"pad {i} words, contact me at user{i}@mail.example.com today") for i in range(12)]
+    rows += [(100 + i, f"pad {i} words, contact me at +1555010{i:04d} today") for i in range(8)]
+    rows += [(200 + i, f"pad {i} words, please ring +1555020{i:04d} today") for i in range(8)]
+    rows += [(300, "so contact me at 555-0199-77 today"), (301, "so please ring 555-0199-77 today"), (302, "so contact me at hidden-handle today")]
+    found = {r.doc_id: (r.spans, r.n_found) for r in personal.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[300] == ("phone:17:28", 1)
+    assert found[301] == ("phone:15:26", 1)
+    assert found[302] == ("email:17:30", 1)
+    assert all(n == 0 for doc, (_, n) in found.items() if doc < 300)

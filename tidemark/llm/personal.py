@@ -88,12 +88,10 @@ def seeds(first: DataFrame) -> DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """(context, kind) of the contexts of ``SUPPORT`` different seeds or more."""
+    """(context, kind) with ``SUPPORT`` different seeds or more; a context is a pattern of each such kind."""
     values = found.groupBy("context", "kind", "value").agg(F.count("*").alias("times"))
     counted = values.groupBy("context", "kind").agg(F.count("*").alias("different"))
-    best = counted.groupBy("context").agg(F.max("different").alias("support"), F.sum("different").alias("all"))
-    named = counted.join(best, "context").where("different = support").groupBy("context", "support").agg(F.min("kind").alias("kind"))
-    return named.where(F.col("support") >= SUPPORT).select("context", "kind")
+    return counted.where(F.col("different") >= SUPPORT).select("context", "kind")
 
 
 def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
@@ -144,15 +142,21 @@ def discovered(texts: DataFrame, first: DataFrame) -> DataFrame:
     counted = reduce(DataFrame.unionByName, counted)
     # A seed of several words is extracted by its first word.
     head = found.select("kind", F.lower(trimmed(F.get(words(F.col("value")), F.lit(0)))).alias("value"), "context").distinct()
-    marked = counted.join(store(head.withColumn("seed", F.lit(True)), "heads"), ["context", "kind", "value"], "left").withColumn(
-        "seed", F.coalesce("seed", F.lit(False))
-    )
+    held = head.groupBy("context", "value").agg(F.collect_set("kind").alias("kinds"))
+    # A seed of one kind is no value of the context's other kinds.
+    marked = counted.join(store(held, "heads"), ["context", "value"], "left")
+    marked = marked.withColumn("seed", F.coalesce(F.array_contains("kinds", F.col("kind")), F.lit(False))).where("seed or kinds is null").drop("kinds")
     marked = store(marked, "extracted")
     share = marked.groupBy("context", "kind").agg(F.avg(F.col("seed").cast("double")).alias("share"))
     plausible = store(share.where(F.col("share") >= PLAUSIBLE).select("context", "kind"), "plausible")
     edges = store(marked.join(plausible, ["context", "kind"]).select("context", "kind", "value", "seed"), "edges")
-    believed = score(edges).where(F.col("belief") >= BELIEVED).select("kind", "value")
-    believed = store(believed, "believed")
+    believed = score(edges).where(F.col("belief") >= BELIEVED)
+    # A value has one kind: a number is no email and a word most likely one; then the kind that is believed most.
+    number = F.col("value").rlike("^[0-9() .+-]+$")
+    fits = number == (F.col("kind") != "email")
+    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    best = believed.groupBy("value").agg(F.max_by("kind", F.struct(fits.alias("fits"), "belief", -order)).alias("kind"))
+    believed = store(best, "believed")
     places = []
     for block in blocks(plausible):
         seen = occurrences(texts, block).withColumn("value", F.lower(trimmed(F.col("token"))))
