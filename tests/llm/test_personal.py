@@ -105,3 +105,17 @@ def test_a_context_has_all_its_kinds(spark):
     assert found[301] == ("phone:15:26", 1)
     assert found[302] == ("email:17:30", 1)
     assert all(n == 0 for doc, (_, n) in found.items() if doc < 300)
+
+
+def test_values_of_several_words_are_whole(spark):
+    """Phones with spaces are seeds of their context, and unseen ones without a country code get whole spans."""
+    phones = [f"+1 ({100 + i}) 555-77{i:02d}" for i in range(12)]
+    rows = [(i, f"pad {i} words, ring us at {p}. Or come by 25 times") for i, p in enumerate(phones)]
+    rows += [(40, "now ring us at (017) 555-7713, or not"), (41, "now ring us at (see 017 555 7714) today"), (42, "now ring us at 017 555 7715\n2024 was")]
+    rows += [(43, "now (ring us at (019) 555-7716) today")]
+    rows += [(50 + i, f"host {i} seen from at 10.0.0.{i} 200 512") for i in range(6)]
+    found = {r.doc_id: (r.spans, r.n_found) for r in personal.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[40] == ("phone:15:29", 1)
+    assert found[42] == ("phone:15:27", 1)
+    assert found[43] == ("phone:16:30", 1)
+    assert all(n == 0 for doc, (_, n) in found.items() if doc < 40 or doc >= 50)

@@ -39,6 +39,12 @@ TURNS = 3
 REACH = 200
 SEPARATOR = "[ \n\t\r\u000b\f]"
 EDGES = ".,;:!?()[]{}<>\"'"
+# A number behind a context, of one or more words of digits, brackets and separators on one line: an address or a phone
+# as the base patterns take it, else as many words as there are. Numbers have 19 digits at most, so 40 words are enough.
+PIECE = r"[0-9()-]++(?:\.[0-9()-]++)*+"
+OPEN, CLOSE = r"^[\"'<\[{,;:!?.]*", r"(?=[.,;:!?\"'<>\[\]{})]*(?:\s|$))"
+RUN = rf"{OPEN}((?<![0-9])[0-9]++(?:\.[0-9]++){{3}}{CLOSE}|{PHONE}{CLOSE}|\+?(?=[^\s]*[0-9]){PIECE}(?: +{PIECE})*(?<=[0-9)]){CLOSE})"
+NUMBER_WORDS = 40
 
 
 def luhn(number: Column) -> Column:
@@ -99,8 +105,16 @@ def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
 
     ``known`` is one of the ``blocks``, bounded and broadcast; the words of all texts stream by it.
     """
-    every = words(F.col("text"))
-    pairs = spans.bound(every, lambda w: F.transform(w, lambda x, i: F.struct(F.lower(F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1))).alias("context"), x.alias("token"))))
+    # The words with the white space behind them, for values of several words.
+    every = F.struct(words(F.col("text")).alias("w"), F.split("text", f"(?<={SEPARATOR})", -1).alias("whole"))
+
+    def pair(w: Column, x: Column, i: Column) -> Column:
+        context = F.lower(F.concat_ws(" ", F.get(w["w"], i - 2), F.get(w["w"], i - 1)))
+        run = F.regexp_extract(F.array_join(F.slice(w["whole"], i + 1, NUMBER_WORDS), ""), RUN, 0)
+        token = F.when(x.rlike("^[^A-Za-z]*[0-9]"), F.coalesce(F.nullif(run, F.lit("")), x)).otherwise(x)
+        return F.struct(context.alias("context"), token.alias("token"))
+
+    pairs = spans.bound(every, lambda w: F.transform(w["w"], lambda x, i: pair(w, x, i)))
     flat = texts.select("row", F.posexplode(pairs).alias("at", "p")).where("at >= 2")
     return flat.select("row", "at", "p.context", "p.token").join(F.broadcast(known), "context")
 
@@ -112,7 +126,9 @@ def blocks(known: DataFrame) -> list[DataFrame]:
 
 
 def trimmed(token: Column) -> Column:
-    return F.btrim(token, F.lit(EDGES))
+    """Without the marks around it; brackets around the first digits of a longer number stay."""
+    number = F.ltrim(F.rtrim(token, F.lit(EDGES)), F.lit(EDGES.replace("(", "")))
+    return F.when(number.rlike(r"^\([0-9]+\).*[0-9]$"), number).otherwise(F.btrim(token, F.lit(EDGES)))
 
 
 def score(edges: DataFrame) -> DataFrame:
@@ -140,8 +156,7 @@ def discovered(texts: DataFrame, first: DataFrame) -> DataFrame:
         seen = occurrences(texts, block).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
         counted.append(store(seen.groupBy("context", "kind", "value").agg(F.count("*").alias("times")), "counted"))
     counted = reduce(DataFrame.unionByName, counted)
-    # A seed of several words is extracted by its first word.
-    head = found.select("kind", F.lower(trimmed(F.get(words(F.col("value")), F.lit(0)))).alias("value"), "context").distinct()
+    head = found.select("kind", F.lower(trimmed(F.col("value"))).alias("value"), "context").distinct()
     held = head.groupBy("context", "value").agg(F.collect_set("kind").alias("kinds"))
     # A seed of one kind is no value of the context's other kinds.
     marked = counted.join(store(held, "heads"), ["context", "value"], "left")
@@ -164,7 +179,7 @@ def discovered(texts: DataFrame, first: DataFrame) -> DataFrame:
     places = reduce(DataFrame.unionByName, places)
     placed = texts.join(places.select("row", "at", "kind", "token").distinct(), "row")
     before = F.aggregate(F.slice(words(F.col("text")), F.lit(1), F.col("at")), F.lit(0), lambda a, w: a + F.length(w) + 1)
-    start = before + F.length("token") - F.length(F.ltrim("token", F.lit(EDGES)))
+    start = before + F.position(trimmed(F.col("token")), F.col("token")) - 1
     return placed.select("row", "kind", start.alias("start"), (start + F.length(trimmed(F.col("token")))).alias("end"))
 
 
