@@ -73,3 +73,10 @@ def test_agrees_with_labels_it_never_saw(spark):
     bad = [r.kept for r in rows if labels.get(r.doc_id) == 0]
     assert sum(good) >= 0.98 * len(good)
     assert sum(bad) <= 0.05 * len(bad)
+
+
+def test_long_words_are_looked_at_to_their_end():
+    words = ["x1" * 15 + "/", "abc" * 20 + "."]
+    facts = quality.Facts(" ".join(words), quality.Shapes())
+    assert (facts.marked, facts.ends) == (0.5, 0.5)
+    assert quality.features(quality.Facts("x1" * 15 + "/", quality.Shapes())) != quality.features(quality.Facts("x1" * 15, quality.Shapes()))

@@ -26,7 +26,7 @@ GOOD, BAD, NONE = 1, 0, 2
 SAMPLE = 12_000
 FEATURES = 1 << 12
 THRESHOLD = 0.5
-# A word is looked at to so many characters when its shape is taken.
+# So many characters of a shape, and its last one, name its feature.
 SHAPE = 24
 
 # Frequent words of the languages.
@@ -43,7 +43,7 @@ CLASSES = LETTERS | {c: "9" for c in range(ord("0"), ord("9") + 1)}
 
 def shape(word: str) -> str:
     """Runs of capitals, small letters, digits and equal marks as one character each."""
-    return RUN.sub(r"\1", word[:SHAPE].translate(CLASSES))
+    return RUN.sub(r"\1", word.translate(CLASSES))
 
 
 class Shapes(dict):
@@ -149,8 +149,12 @@ def features(facts: Facts) -> tuple[list[int], list[float]]:
         at = linear.hashed(name, FEATURES)
         merged[at] = merged.get(at, 0.0) + value
 
+    named: dict[str, int] = {}
     for s, times in facts.shapes.items():
-        add(f"shape/{s}", (times / facts.n) ** 0.5)
+        name = s[:SHAPE] + (s[-1] if len(s) > SHAPE else "")
+        named[name] = named.get(name, 0) + times
+    for name, times in named.items():
+        add(f"shape/{name}", (times / facts.n) ** 0.5)
     for name in ("stutter", "distinct", "top", "function", "marked", "bare", "capital", "ends"):
         add(f"{name}/{min(int(getattr(facts, name) * 20), 20)}", 0.5)
     add(f"n/{min(facts.n, 1000).bit_length()}", 0.5)
