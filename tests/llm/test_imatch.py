@@ -72,3 +72,10 @@ def test_query(spark):
     edited = sum(r.near_edited for r in rows) / len(rows)
     following = sum(r.near_next for r in rows) / len(rows)
     assert edited > 0.2 and following < 0.02, (edited, following)
+
+
+def test_lexicon_keeps_every_term_of_the_band(spark):
+    """More terms than a lexicon of 100,000 would hold, two documents each."""
+    rows = [(" ".join(f"t{k}x{i}" for i in range(6000)),) for k in range(20)] * 2
+    found = imatch.lexicon(spark.createDataFrame(rows, "text string").repartition(4))
+    assert found.size == 120_000 and (np.diff(found) > 0).all()

@@ -21,15 +21,13 @@ from tidemark.llm.common import BATCH_BYTES, pick, slices, store, texts
 from tidemark.llm.words import hash_words, mixed
 
 LOW, HIGH = 0.0005, 0.1
-# The lexicon is bounded: the most frequent terms of the band, equal frequencies in the order of their hashes.
-LEXICON = 100_000
 SUBSETS = 48
 # Of so many terms one is in a subset, on average.
 RARITY = 200
 
 
-def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, size: int = LEXICON) -> np.ndarray:
-    """Sorted hashes of the terms of the band. Frequencies count every text of (text) once for each of its terms."""
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
+    """Sorted hashes of all terms of the band; at most the mean number of distinct terms of a text, divided by ``low``. Frequencies count every text of (text) once for each of its terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -48,7 +46,7 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, size: int = L
     total = docs.count()
     sums = docs.mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     band = sums.where((F.col("n") >= 2) & (F.col("n") >= low * total) & (F.col("n") <= max(2.0, high * total)))
-    rows = band.orderBy(F.desc("n"), "term").limit(size).select("term").collect()
+    rows = band.select("term").collect()
     return np.sort(np.array([r.term for r in rows], np.int64).view(np.uint64))
 
 
