@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, imatch, jaccard, language, leaks, line_chunks, personal, quality, secrets, toxicity
+from tidemark.llm import byte_bpe, fill_middle, imatch, jaccard, language, leaks, line_chunks, main_text, personal, quality, secrets, toxicity, whitening
 from tidemark.llm.common import documents, pick, table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -78,6 +78,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digest(spark, documents(spark, sf_dir))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two line ends and put together anew, as digests."""
+    return fill_middle.digest(fill_middle.transform(documents(spark, sf_dir)))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first 32 principal components, whitened."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.report(vectors, whitening.fit(vectors, 32))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, learned from the pages that mark theirs."""
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.learn(pages)).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_personal": op2_personal,
@@ -89,5 +106,8 @@ QUERIES = {
     "op8_leaks": op8_leaks,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_whitening": op12_whitening,
+    "op13_main_text": op13_main_text,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_fill_middle": fill_middle.SQL, "op13_main_text": main_text.SQL}
