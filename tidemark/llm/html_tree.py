@@ -48,9 +48,10 @@ OTHER_WORDS = frozenset(
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget".split()
 )
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z](?:[^>"']|"[^"]*"|'[^']*')*+>|</?[A-Za-z][^>]*>""", re.S
-)
+# Where something other than text may begin, and a tag: with its quoted values if the quotes are in order, else up to >.
+BEGIN = re.compile(r"<(?=[!?]|/?[A-Za-z])")
+TAG = re.compile(r"""</?[A-Za-z](?:[^<>"']|"[^"]*"|'[^']*')*+>|</?[A-Za-z][^>]*>""")
+COMMENT = re.compile(r"--!?>")
 NAME = re.compile(r"[^\s/>]+")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
@@ -151,18 +152,25 @@ def read(page: str) -> list[Node]:
 
     Character references are decoded, white space within a run of text is one space, runs of white space only are left
     out. Comments, declarations and the content of scripts, styles and other elements that show no text are skipped,
-    those without an end tag up to the end of the page, as browsers do.
+    those without an end tag up to the end of the page, as browsers do. The time is in proportion to the page's length.
     """
-    reader, at, last = Reader(), 0, page.rfind(">") + 1
+    reader, at, last = Reader(), 0, page.rfind(">")
     while at < len(page):
-        match = TOKEN.search(page, at)
-        if match is None or (match.start() >= last and not match[0].startswith("<!")):
-            reader.text(page[at:])
+        match = BEGIN.search(page, at)
+        begin = match.start() if match else len(page)
+        if match and begin > last and page[begin + 1] not in "!?":
+            # No tag ends any more, but a comment or a declaration may begin.
+            begin = min((i for i in (page.find("<!", begin), page.find("<?", begin)) if i >= 0), default=len(page))
+        reader.text(page[at:begin])
+        if begin == len(page):
             break
-        reader.text(page[at : match.start()])
-        at, token = match.end(), match[0]
-        if token[1] in "!?":
+        if page[begin + 1] in "!?":
+            found = COMMENT.search(page, begin + 4) if page.startswith("<!--", begin) else None
+            end = found.end() if found else -1 if page.startswith("<!--", begin) else page.find(">", begin) + 1 or -1
+            at = len(page) if end < 0 else end
             continue
+        token = TAG.match(page, begin)[0]
+        at = begin + len(token)
         closing = token[1] == "/"
         name = NAME.match(token, 2 if closing else 1)
         tag = name[0].lower()
