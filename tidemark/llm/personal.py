@@ -1,18 +1,16 @@
 """Personal data by patterns and by bootstrapped contexts.
 
 Base spans follow fixed patterns and are the seeds. The two words before a seed are a context; contexts that
-several different seeds share become candidate extraction patterns. Every occurrence of a candidate in the
-corpus is found and counted; one that mostly stands before seeds is plausible. The graph of plausible
-patterns and the values they extract is scored in turns: a pattern by the mean belief in its values, a value by
+several different seeds share become candidate extraction patterns. Candidates that stand before too many different
+plain words to be plausible are found by counting one class of all words, and dropped; every occurrence of the others
+is found and counted, and one that mostly stands before seeds is plausible. The graph of plausible patterns and the values they extract is scored in turns: a pattern by the mean belief in its values, a value by
 the patterns that extract it. Values believed in become spans of the pattern's kind. Only DataFrame
 functions are used.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import spans
@@ -27,16 +25,18 @@ CARD = r"[0-9](?:[ -]?[0-9]){13,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-# Different seed values that make a context a candidate, and how many candidates are looked for in one pass; there
-# are as many passes as all of them need.
+# Different seed values that make a context a candidate.
 SUPPORT = 3
-CANDIDATES = 20_000
 # Share of a pattern's different values that must be seeds, and belief from which a value is a span.
 PLAUSIBLE = 0.3
 BELIEVED = 0.6
 TURNS = 3
-# Text before a span in which its context is looked for.
-REACH = 200
+# Words are dealt to so many classes by hash; those of one class that follow a context are a lower bound of all that do.
+CLASSES = 16
+# Contexts that are broadcast, some 20 MB; more are joined by shuffling.
+BROADCAST = 200_000
+# Code points before a span in which its context is looked for at first; if they hold no two whole words, more are.
+REACH = (200, 4_000, 2**30)
 SEPARATOR = "[ \n\t\r\u000b\f]"
 EDGES = ".,;:!?()[]{}<>\"'"
 # A number behind a context, of one or more words of digits, brackets and separators on one line: an address or a phone
@@ -80,12 +80,16 @@ def seeds(first: DataFrame) -> DataFrame:
 
     def one(kind: str) -> Column:
         def described(s: Column) -> Column:
-            begin = F.greatest(s["start"] - REACH, F.lit(0))
-            before = F.split(F.substring(F.col("text"), begin + 1, s["start"] - begin), SEPARATOR, -1)
-            n = F.size(before)
-            known = n > 2
-            context = F.concat_ws(" ", F.get(before, n - 3), F.get(before, n - 2))
-            return F.struct(F.lit(kind).alias("kind"), F.lower(s["value"]).alias("value"), F.when(known, F.lower(context)).alias("context"))
+            def within(reach: int) -> Column:
+                begin = F.greatest(s["start"] - reach, F.lit(0))
+                before = F.split(F.substring(F.col("text"), begin + 1, s["start"] - begin), SEPARATOR, -1)
+                n = F.size(before)
+                # The first piece is a whole word only where the text begins.
+                context = F.concat_ws(" ", F.get(before, n - 3), F.get(before, n - 2))
+                return F.when((n > 3) | ((n > 2) & (begin == 0)), F.lower(context))
+
+            context = F.coalesce(*map(within, REACH))
+            return F.struct(F.lit(kind).alias("kind"), F.lower(s["value"]).alias("value"), context.alias("context"))
 
         return F.transform(F.col(kind), described)
 
@@ -100,11 +104,41 @@ def candidates(found: DataFrame) -> DataFrame:
     return counted.where(F.col("different") >= SUPPORT).select("context", "kind")
 
 
-def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
-    """(row, at, context, kind, token) for every place of a known context; ``at`` is the number of the word.
+def heads(found: DataFrame) -> DataFrame:
+    """(context, kind, value) of the seeds, the value as ``occurrences`` has it."""
+    return found.select("context", "kind", F.lower(trimmed(F.col("value"))).alias("value")).distinct()
+
+
+def among(places: DataFrame, known: DataFrame) -> DataFrame:
+    """The places whose context is known; the contexts are broadcast up to ``BROADCAST`` of them."""
+    contexts = store(known.select("context").distinct(), "contexts")
+    return places.join(F.broadcast(contexts) if contexts.count() <= BROADCAST else contexts, "context", "left_semi")
+
 
-    ``known`` is one of the ``blocks``, bounded and broadcast; the words of all texts stream by it.
+def promising(texts: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
+    """The candidates that may be plausible.
+
+    Words without a digit or ``@`` are no seeds. The different ones of a class that follow a context are at most its
+    values without seeds; if the seeds are too small a share beside them alone, the context is not plausible. What
+    is left has, by its number of seeds, a bounded number of values to be expected, however frequent it is.
     """
+
+    def plain(w: Column) -> Column:
+        value = F.transform(w, lambda x, i: F.struct(i.alias("i"), F.lower(F.btrim(x, F.lit(EDGES))).alias("v"), x.rlike("[0-9@]").alias("other")))
+        mine = F.filter(value, lambda p: (p["i"] >= 2) & ~p["other"] & (p["v"] != "") & (F.pmod(F.xxhash64(p["v"]), F.lit(CLASSES)) == 0))
+        context = lambda i: F.lower(F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)))
+        return F.transform(mine, lambda p: F.struct(context(p["i"]).alias("context"), F.xxhash64(p["v"]).alias("v")))
+
+    each = texts.select(F.explode(spans.bound(words(F.col("text")), plain)).alias("p")).select("p.*")
+    found = among(each, known).distinct().groupBy("context").agg(F.count("*").alias("others"))
+    seeds_of = held.groupBy("context", "kind").agg(F.count("*").alias("own"))
+    joined = known.join(seeds_of, ["context", "kind"]).join(found, "context", "left")
+    enough = F.col("own") >= PLAUSIBLE * (F.col("own") + F.coalesce("others", F.lit(0)))
+    return joined.where(enough).select("context", "kind")
+
+
+def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(row, at, context, token, value) for every place of a known context; ``at`` is the number of the word."""
     # The words with the white space behind them, for values of several words.
     every = F.struct(words(F.col("text")).alias("w"), F.split("text", f"(?<={SEPARATOR})", -1).alias("whole"))
 
@@ -115,14 +149,8 @@ def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
         return F.struct(context.alias("context"), token.alias("token"))
 
     pairs = spans.bound(every, lambda w: F.transform(w["w"], lambda x, i: pair(w, x, i)))
-    flat = texts.select("row", F.posexplode(pairs).alias("at", "p")).where("at >= 2")
-    return flat.select("row", "at", "p.context", "p.token").join(F.broadcast(known), "context")
-
-
-def blocks(known: DataFrame) -> list[DataFrame]:
-    """The known contexts in parts of about ``CANDIDATES``; a context is in one part."""
-    n = max(1, -(-known.count() // CANDIDATES))
-    return [known.where(F.pmod(F.xxhash64("context"), F.lit(n)) == i) for i in range(n)] if n > 1 else [known]
+    flat = texts.select("row", F.posexplode(pairs).alias("at", "p")).where("at >= 2").select("row", "at", "p.context", "p.token")
+    return among(flat, known).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
 
 
 def trimmed(token: Column) -> Column:
@@ -147,40 +175,60 @@ def score(edges: DataFrame) -> DataFrame:
     return belief.where("not seed").select("kind", "value", "belief")
 
 
+def extracted(places: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
+    """(context, kind, value, seed) of the different values behind each pattern; a seed of one kind only is no value of
+    the context's other kinds."""
+    values = places.select("context", "value").distinct().join(known, "context")
+    kinds = held.groupBy("context", "value").agg(F.collect_set("kind").alias("kinds"))
+    marked = values.join(store(kinds, "heads"), ["context", "value"], "left")
+    marked = marked.withColumn("seed", F.coalesce(F.array_contains("kinds", F.col("kind")), F.lit(False)))
+    return marked.where("seed or kinds is null").select("context", "kind", "value", "seed")
+
+
+def placed(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """(row, kind, start, end) of tokens at numbered words, from (row, at, kind, token).
+
+    The words between one place and the next give the distance; distances add up along the row, so every word is
+    looked at once, however many places a text has.
+    """
+    hits = places.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", "kind", "token"))).alias("hits"))
+    # A text in several rows is one text here.
+    held = texts.join(store(hits, "hits"), "row").dropDuplicates(["row"])
+
+    def distances(w: Column) -> Column:
+        def distance(h: Column, i: Column) -> Column:
+            before = F.when(i == 0, 0).otherwise(F.get(F.col("hits"), i - 1)["at"])
+            between = F.slice(w, before + 1, h["at"] - before)
+            length = F.when(F.size(between) == 0, 0).otherwise(F.length(F.array_join(between, " ")) + 1)
+            return F.struct(h["at"].alias("at"), h["kind"].alias("kind"), h["token"].alias("token"), length.alias("step"))
+
+        return F.transform("hits", distance)
+
+    each = held.select("row", F.explode(spans.bound(words(F.col("text")), distances)).alias("h")).select("row", "h.*")
+    along = Window.partitionBy("row").orderBy("at", "kind", "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = trimmed(F.col("token"))
+    start = F.sum("step").over(along) + F.position(value, F.col("token")) - 1
+    return each.select("row", "kind", start.cast("int").alias("start"), (start + F.length(value)).cast("int").alias("end"))
+
+
 def discovered(texts: DataFrame, first: DataFrame) -> DataFrame:
     """(row, kind, start, end) of the values that contexts reveal."""
     found = store(seeds(first), "seeds")
-    known = store(candidates(found), "candidates")
-    counted = []
-    for block in blocks(known):
-        seen = occurrences(texts, block).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
-        counted.append(store(seen.groupBy("context", "kind", "value").agg(F.count("*").alias("times")), "counted"))
-    counted = reduce(DataFrame.unionByName, counted)
-    head = found.select("kind", F.lower(trimmed(F.col("value"))).alias("value"), "context").distinct()
-    held = head.groupBy("context", "value").agg(F.collect_set("kind").alias("kinds"))
-    # A seed of one kind is no value of the context's other kinds.
-    marked = counted.join(store(held, "heads"), ["context", "value"], "left")
-    marked = marked.withColumn("seed", F.coalesce(F.array_contains("kinds", F.col("kind")), F.lit(False))).where("seed or kinds is null").drop("kinds")
-    marked = store(marked, "extracted")
+    held = store(heads(found), "head-values")
+    known = store(promising(texts, store(candidates(found), "candidates"), held), "promising")
+    places = store(occurrences(texts, known), "occurrences")
+    marked = store(extracted(places, known, held), "extracted")
     share = marked.groupBy("context", "kind").agg(F.avg(F.col("seed").cast("double")).alias("share"))
     plausible = store(share.where(F.col("share") >= PLAUSIBLE).select("context", "kind"), "plausible")
-    edges = store(marked.join(plausible, ["context", "kind"]).select("context", "kind", "value", "seed"), "edges")
+    edges = store(marked.join(plausible, ["context", "kind"]), "edges")
     believed = score(edges).where(F.col("belief") >= BELIEVED)
     # A value has one kind: a number is no email and a word most likely one; then the kind that is believed most.
     number = F.col("value").rlike("^[0-9() .+-]+$")
     fits = number == (F.col("kind") != "email")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     best = believed.groupBy("value").agg(F.max_by("kind", F.struct(fits.alias("fits"), "belief", -order)).alias("kind"))
-    believed = store(best, "believed")
-    places = []
-    for block in blocks(plausible):
-        seen = occurrences(texts, block).withColumn("value", F.lower(trimmed(F.col("token"))))
-        places.append(store(seen, "places").join(believed, ["kind", "value"]))
-    places = reduce(DataFrame.unionByName, places)
-    placed = texts.join(places.select("row", "at", "kind", "token").distinct(), "row")
-    before = F.aggregate(F.slice(words(F.col("text")), F.lit(1), F.col("at")), F.lit(0), lambda a, w: a + F.length(w) + 1)
-    start = before + F.position(trimmed(F.col("token")), F.col("token")) - 1
-    return placed.select("row", "kind", start.alias("start"), (start + F.length(trimmed(F.col("token")))).alias("end"))
+    mine = places.join(plausible, "context").join(store(best, "believed"), ["kind", "value"])
+    return placed(texts, mine.select("row", "at", "kind", "token").distinct())
 
 
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
