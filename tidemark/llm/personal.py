@@ -33,8 +33,10 @@ BELIEVED = 0.6
 TURNS = 3
 # Words are dealt to so many classes by hash; those of one class that follow a context are a lower bound of all that do.
 CLASSES = 16
-# Contexts that are broadcast, some 20 MB; more are joined by shuffling.
-BROADCAST = 200_000
+# Contexts that are broadcast, some 5 MB, and looked up by hash beforehand; more are joined by shuffling. The table of
+# hashes has this many bits for each.
+BROADCAST = 50_000
+PLACES = 16
 # Code points before a span in which its context is looked for at first; if they hold no two whole words, more are.
 REACH = (200, 4_000, 2**30)
 SEPARATOR = "[ \n\t\r\u000b\f]"
@@ -111,8 +113,44 @@ def heads(found: DataFrame) -> DataFrame:
 
 def among(places: DataFrame, known: DataFrame) -> DataFrame:
     """The places whose context is known; the contexts are broadcast up to ``BROADCAST`` of them."""
-    contexts = store(known.select("context").distinct(), "contexts")
-    return places.join(F.broadcast(contexts) if contexts.count() <= BROADCAST else contexts, "context", "left_semi")
+    return places.join(F.broadcast(known) if known.count() <= BROADCAST else known, "context", "left_semi")
+
+
+def place_of(first: Column, second: Column, size: int) -> Column:
+    """The place of a context, given its words, among ``size``, a power of two."""
+    return F.xxhash64(first, second).bitwiseAND(F.lit(size - 1))
+
+
+def behind(known: DataFrame) -> Column:
+    """Numbers of the words of ``text`` that may stand behind a known context: a hash of the two words before is one of
+    a known context's. Beyond ``BROADCAST`` contexts all words may."""
+    n = known.count()
+    if n > BROADCAST:
+        last = F.size(words(F.col("text"))) - 1
+        return F.when(last >= 2, F.sequence(F.lit(2), last)).otherwise(F.array().cast("array<int>"))
+    size = 1 << max(10, (PLACES * n).bit_length())
+    both = F.transform(F.split("context", " ", -1), lambda w: F.xxhash64(w))
+    bits = [0] * (size // 64)
+    for r in known.select(place_of(F.get(both, 0), F.get(both, 1), size).alias("at")).distinct().collect():
+        bits[r["at"] // 64] |= 1 << r["at"] % 64
+    signed = (b - (b >> 63 << 64) for b in bits)
+    # A constant that is parsed once, when the query is planned.
+    table = F.split(F.lit(",".join(map(str, signed))), ",").cast("array<bigint>")
+    hashes = F.transform(words(F.lower("text")), lambda w: F.xxhash64(w))
+
+    def is_known(place: Column) -> Column:
+        return F.getbit(F.get(table, F.shiftright(place, 6)), place.bitwiseAND(63).cast("int")) == 1
+
+    def found(h: Column) -> Column:
+        places = F.transform(h, lambda x, i: place_of(F.get(h, i - 1), x, size))
+        marked = F.transform(places, lambda place, i: F.when(is_known(place), i + 1))
+        return F.filter(marked, lambda i: i.isNotNull() & (i >= 2) & (i < F.size(h)))
+
+    return spans.bound(hashes, found)
+
+
+def context_at(w: Column, i: Column) -> Column:
+    return F.lower(F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)))
 
 
 def promising(texts: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
@@ -122,15 +160,16 @@ def promising(texts: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
     values without seeds; if the seeds are too small a share beside them alone, the context is not plausible. What
     is left has, by its number of seeds, a bounded number of values to be expected, however frequent it is.
     """
+    contexts = store(known.select("context").distinct(), "contexts")
 
-    def plain(w: Column) -> Column:
-        value = F.transform(w, lambda x, i: F.struct(i.alias("i"), F.lower(F.btrim(x, F.lit(EDGES))).alias("v"), x.rlike("[0-9@]").alias("other")))
-        mine = F.filter(value, lambda p: (p["i"] >= 2) & ~p["other"] & (p["v"] != "") & (F.pmod(F.xxhash64(p["v"]), F.lit(CLASSES)) == 0))
-        context = lambda i: F.lower(F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)))
-        return F.transform(mine, lambda p: F.struct(context(p["i"]).alias("context"), F.xxhash64(p["v"]).alias("v")))
+    def plain(x: Column) -> Column:
+        value = lambda i: F.lower(F.btrim(F.get(x["w"], i), F.lit(EDGES)))
+        every = F.transform(x["at"], lambda i: F.struct(context_at(x["w"], i).alias("context"), value(i).alias("v")))
+        return F.filter(every, lambda p: ~p["v"].rlike("[0-9@]") & (p["v"] != "") & (F.pmod(F.xxhash64(p["v"]), F.lit(CLASSES)) == 0))
 
-    each = texts.select(F.explode(spans.bound(words(F.col("text")), plain)).alias("p")).select("p.*")
-    found = among(each, known).distinct().groupBy("context").agg(F.count("*").alias("others"))
+    both = F.struct(words(F.col("text")).alias("w"), behind(contexts).alias("at"))
+    each = texts.select(F.explode(spans.bound(both, plain)).alias("p")).select("p.context", F.xxhash64("p.v").alias("v"))
+    found = among(each, contexts).distinct().groupBy("context").agg(F.count("*").alias("others"))
     seeds_of = held.groupBy("context", "kind").agg(F.count("*").alias("own"))
     joined = known.join(seeds_of, ["context", "kind"]).join(found, "context", "left")
     enough = F.col("own") >= PLAUSIBLE * (F.col("own") + F.coalesce("others", F.lit(0)))
@@ -139,18 +178,21 @@ def promising(texts: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
 
 def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
     """(row, at, context, token, value) for every place of a known context; ``at`` is the number of the word."""
+    contexts = store(known.select("context").distinct(), "contexts")
     # The words with the white space behind them, for values of several words.
-    every = F.struct(words(F.col("text")).alias("w"), F.split("text", f"(?<={SEPARATOR})", -1).alias("whole"))
+    every = F.struct(
+        words(F.col("text")).alias("w"), F.split("text", f"(?<={SEPARATOR})", -1).alias("whole"), behind(contexts).alias("at")
+    )
 
-    def pair(w: Column, x: Column, i: Column) -> Column:
-        context = F.lower(F.concat_ws(" ", F.get(w["w"], i - 2), F.get(w["w"], i - 1)))
-        run = F.regexp_extract(F.array_join(F.slice(w["whole"], i + 1, NUMBER_WORDS), ""), RUN, 0)
-        token = F.when(x.rlike("^[^A-Za-z]*[0-9]"), F.coalesce(F.nullif(run, F.lit("")), x)).otherwise(x)
-        return F.struct(context.alias("context"), token.alias("token"))
+    def one(x: Column, i: Column) -> Column:
+        word = F.get(x["w"], i)
+        run = F.regexp_extract(F.array_join(F.slice(x["whole"], i + 1, NUMBER_WORDS), ""), RUN, 0)
+        token = F.when(word.rlike("^[^A-Za-z]*[0-9]"), F.coalesce(F.nullif(run, F.lit("")), word)).otherwise(word)
+        return F.struct(i.alias("at"), context_at(x["w"], i).alias("context"), token.alias("token"))
 
-    pairs = spans.bound(every, lambda w: F.transform(w["w"], lambda x, i: pair(w, x, i)))
-    flat = texts.select("row", F.posexplode(pairs).alias("at", "p")).where("at >= 2").select("row", "at", "p.context", "p.token")
-    return among(flat, known).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
+    each = texts.select("row", F.explode(spans.bound(every, lambda x: F.transform(x["at"], lambda i: one(x, i)))).alias("p"))
+    flat = each.select("row", "p.at", "p.context", "p.token")
+    return among(flat, contexts).withColumn("value", F.lower(trimmed(F.col("token")))).where("value <> ''")
 
 
 def trimmed(token: Column) -> Column:
