@@ -8,9 +8,8 @@ import pytest
 import corpus_pipeline
 from tests.llm.test_byte_bpe import ORACLE
 from tests.llm.test_jaccard import brute_force as linked_by_all_pairs
-from tests.llm.test_line_chunks import brute_force as without_chunks
-from tests.llm.test_line_chunks import pieces
-from tidemark.llm import jaccard, leaks, quality
+from tests.llm.test_line_chunks import brute_force as without_pieces
+from tidemark.llm import jaccard, leaks, line_chunks, quality
 from tidemark.llm.common import store
 
 FOLDER = "/root/testdata/sf0.001"
@@ -43,8 +42,7 @@ def test_quality(spark, stages):
 def test_line_chunks(spark, stages):
     before, after, _ = stages["line_chunks"]
     rows = [(r.doc_id, r.text) for r in before]
-    made = pieces(spark, [t for _, t in rows])
-    want = {d: t for d, t, n in without_chunks(rows, made) if not n or t}
+    want = {d: t for d, t, n in without_pieces(rows, line_chunks.Chunking(copy_share=0.8), every=False) if not n or t}
     assert {r.doc_id: r.text for r in after} == want
     assert all(r.n_chars == len(r.text) for r in after)
 
@@ -70,3 +68,25 @@ def test_tokens(stages):
 
 def test_run_is_the_stages_in_turn(spark, stages):
     assert sorted(corpus_pipeline.run(spark, FOLDER).collect()) == sorted(stages["byte_bpe"][1])
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, TEXT string, DOC_ID long, gone_id long, gone_chunks int, gone_ranges int, kept_id long, hash string"
+
+
+@pytest.mark.parametrize("name", list(dict(corpus_pipeline.STAGES)))
+def test_odd_tables(spark, name):
+    """Nulls in all columns, clashing names, an id in a third of all rows, no rows at all."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    text = spark.read.parquet(f"{FOLDER}/documents.parquet").where("n_chars > 400 and lang = 'en'").orderBy("doc_id").limit(8).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, len(r.text), "T", 1, 2, 3, 4, 5, "h") for r in text]
+    rows += [(7_000, f"{rows[0][1]}\nand one more line {i}", "en", "s", None, None, None, None, None, None, None, None) for i in range(9)]
+    rows += [(None,) * 12, (8_000, None, *(None,) * 10), (8_001, "", *(None,) * 10), rows[1], rows[1]]
+    df = spark.createDataFrame(rows, CLASHING).repartition(3)
+    found = stage(spark, df, FOLDER)
+    assert found.count() <= len(rows)
+    if name != "byte_bpe":
+        assert found.columns == df.columns
+        ids = {r[0] for r in found.collect()}
+        assert ids <= {r[0] for r in rows} and len(ids) > 4
+    empty = stage(spark, df.limit(0), FOLDER)
+    assert empty.count() == 0 and empty.columns == found.columns

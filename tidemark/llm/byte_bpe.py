@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, pick, texts
 
-# Pieces whose ids one task remembers before it starts afresh.
-REMEMBERED = 400_000
+# Bytes of pieces with their ids that one worker remembers before it starts afresh, and pairs of tokens.
+REMEMBERED = 24 * 1024 * 1024
+PAIRS = 200_000
 SCHEMA = "doc_id bigint, ids binary, decoded binary"
 
 
@@ -31,9 +32,14 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks), default=0)
         self.whole: dict[int, bool] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # Whether the token left may stand before the token right, by left << 32 | right.
+        self.pairs: dict[int, bool] = {}
+        # The longest token that ends in these three bytes; tokens of up to two bytes have no entry.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) > 2:
+                self.reach[token[-3:]] = max(self.reach.get(token[-3:], 0), len(token))
 
     @classmethod
     def parse(cls, content: bytes) -> Vocabulary:
@@ -60,12 +66,12 @@ class Vocabulary:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Merging the bytes of both tokens gives these two tokens."""
-        known = self.pairs.get((left, right))
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
-            self.pairs[left, right] = known
+            known = self.pairs[key] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
 
 
@@ -82,9 +88,9 @@ class Prefixes:
         """Add bytes at the end; entries of earlier prefixes stay as they are."""
         v, last = self.vocabulary, self.last
         piece = self.piece = self.piece + more
-        get, longest, whole, pairs = v.ranks.get, v.longest, v.whole.get, v.pairs.get
+        get, reach, whole, pairs = v.ranks.get, v.reach.get, v.whole.get, v.pairs.get
         for end in range(len(last) + 1, len(piece) + 1):
-            for begin in range(max(0, end - longest), end):
+            for begin in range(max(0, end - reach(piece[end - 3 : end] if end > 2 else b"", 2)), end):
                 token = get(piece[begin:end])
                 if token is None:
                     continue
@@ -92,7 +98,7 @@ class Prefixes:
                 if fits is None:
                     fits = v.reachable(token)
                 if fits and begin:
-                    fits = pairs((last[begin - 1], token))
+                    fits = pairs(last[begin - 1] << 32 | token)
                     if fits is None:
                         fits = v.neighbours(last[begin - 1], token)
                 if fits:
@@ -127,6 +133,7 @@ class Remembered(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
@@ -134,8 +141,11 @@ class Remembered(dict):
         ids = [token] if token is not None else Prefixes(self.vocabulary, raw).ids()
         packed = np.array(ids, "<u4").tobytes()
         if len(raw) <= 64:
-            if len(self) >= REMEMBERED:
+            # A text, its ids and a place in the table take about 200 bytes besides their content.
+            self.bytes += 200 + len(raw) + len(packed)
+            if self.bytes > REMEMBERED:
                 self.clear()
+                self.bytes = 200 + len(raw) + len(packed)
             self[piece] = packed
         return packed
 
@@ -156,8 +166,11 @@ def decode_ids(ids: bytes, tokens: dict[int, bytes]) -> bytes:
 
 
 def load(spark: SparkSession, path: str) -> bytes:
-    """A vocabulary file, read by Spark so that it may lie in any store."""
-    rows = spark.read.format("binaryFile").load(path if ":" in path else f"file://{path}").select("content").take(1)
+    """A vocabulary file: read by the driver if it is a local path, by Spark if it names a store."""
+    if ":" not in path:
+        with open(path, "rb") as file:
+            return file.read()
+    rows = spark.read.format("binaryFile").load(path).select("content").take(1)
     return bytes(rows[0].content)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.checkpoints import store
 
-__all__ = ["BATCH_BYTES", "documents", "map_batches", "pick", "slices", "store", "table", "texts"]
+__all__ = ["BATCH_BYTES", "by_position", "documents", "map_batches", "pick", "slices", "store", "table", "texts"]
 
 # Text given to one call of a Python batch function; a longer text is a batch of its own.
 BATCH_BYTES = 8 * 1024 * 1024
@@ -41,6 +41,18 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{i}").alias(new) for new, i in at.items()])
 
 
+def by_position(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns called c0, c1 and so on, and the new name of each old one, the first of equal names.
+
+    Names that differ in case only, or clash with those an operator uses, do no harm in it; ``toDF`` gives the old
+    names back.
+    """
+    names: dict[str, str] = {}
+    for i, c in enumerate(df.columns):
+        names.setdefault(c, f"c{i}")
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), names
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``limit`` bytes of text, and one row at least."""
     rows, begin, size = batch.num_rows, 0, 0

@@ -32,7 +32,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, pick, slices, store, texts
+from tidemark.llm.common import by_position, map_batches, pick, slices, store, texts
 from tidemark.llm.words import hash_words, mixed, shingles, windows
 
 # Words whose frequency is known when shingles are ordered; the order only decides how much work is done.
@@ -463,11 +463,12 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id",
 def keep_one(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of the document with the smallest id of each component; all columns stay.
 
-    Rows with an empty set stay. Of rows that repeat an id one stays, rows without an id stay.
+    Rows with an empty set, a null or empty text, stay. Of rows that repeat an id one stays, rows without an id stay. An
+    empty table gives an empty table; columns are found by position, so others may be called as they like.
     """
     found = near_duplicates(df, rule, doc_id, text)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = df.where(F.col(doc_id).isNull()).unionByName(
-        df.join(kept, F.col(doc_id) == F.col("kept_id"), "left_semi").dropDuplicates([doc_id])
-    )
-    return rows
+    plain, at = by_position(df)
+    key = at[doc_id]
+    one = plain.join(kept, F.col(key) == F.col("kept_id"), "left_semi").dropDuplicates([key])
+    return plain.where(F.col(key).isNull()).unionByName(one).toDF(*df.columns)

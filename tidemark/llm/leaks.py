@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pick, slices, texts
+from tidemark.llm.common import by_position, pick, slices, texts
 from tidemark.llm.words import mixed
 
 Q = 12
@@ -211,11 +211,16 @@ def find(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows, with all columns, whose text holds no item."""
+    """The rows, with all columns, whose text holds no item.
+
+    A null or empty text holds none and stays; repeated rows are treated alike; an empty table gives an empty table, and
+    without items all rows stay. Columns are found by position, so others may be called as they like.
+    """
 
     def make(batch: pa.RecordBatch, rows: list[list[tuple[int, int, int]]]) -> pa.RecordBatch:
         return batch.filter(pa.array([not row for row in rows], pa.bool_()))
 
+    plain, at = by_position(df)
     for block in blocks(benchmark):
-        df = _mapped(df, block, text, df.schema, make)
-    return df
+        plain = _mapped(plain, block, at[text], plain.schema, make)
+    return plain.toDF(*df.columns)

@@ -186,7 +186,8 @@ def occurrences(texts: DataFrame, known: DataFrame) -> DataFrame:
 
     def one(x: Column, i: Column) -> Column:
         word = F.get(x["w"], i)
-        run = F.regexp_extract(F.array_join(F.slice(x["whole"], i + 1, NUMBER_WORDS), ""), RUN, 0)
+        last = F.least(i + NUMBER_WORDS, F.size(x["whole"])) - 1
+        run = F.regexp_extract(F.array_join(spans.part(x["whole"], i, last), ""), RUN, 0)
         token = F.when(word.rlike("^[^A-Za-z]*[0-9]"), F.coalesce(F.nullif(run, F.lit("")), word)).otherwise(word)
         return F.struct(i.alias("at"), context_at(x["w"], i).alias("context"), token.alias("token"))
 
@@ -240,8 +241,8 @@ def placed(texts: DataFrame, places: DataFrame) -> DataFrame:
     def distances(w: Column) -> Column:
         def distance(h: Column, i: Column) -> Column:
             before = F.when(i == 0, 0).otherwise(F.get(F.col("hits"), i - 1)["at"])
-            between = F.slice(w, before + 1, h["at"] - before)
-            length = F.when(F.size(between) == 0, 0).otherwise(F.length(F.array_join(between, " ")) + 1)
+            between = spans.part(w, before, h["at"] - 1)
+            length = F.when(h["at"] == before, 0).otherwise(F.length(F.array_join(between, " ")) + 1)
             return F.struct(h["at"].alias("at"), h["kind"].alias("kind"), h["token"].alias("token"), length.alias("step"))
 
         return F.transform("hits", distance)

@@ -19,15 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import linear
-from tidemark.llm.common import map_batches, pick, store, texts
+from tidemark.llm.common import by_position, map_batches, pick, store, texts
 
 GOOD, BAD, NONE = 1, 0, 2
 # Documents the scorer learns from, taken in the order of a hash of their id.
 SAMPLE = 12_000
 FEATURES = 1 << 12
 THRESHOLD = 0.5
-# So many characters of a shape, and its last one, name its feature.
-SHAPE = 24
+# Bytes of words and shapes that one task remembers before it starts afresh.
+REMEMBERED = 8 * 1024 * 1024
 
 # Frequent words of the languages.
 FUNCTION_WORDS = frozenset(
@@ -49,10 +49,18 @@ def shape(word: str) -> str:
 class Shapes(dict):
     """Shapes of words seen before, and whether they are function words."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.bytes = 0
+
     def __missing__(self, word: str) -> tuple[str, bool]:
-        if len(self) > 200_000:
+        form = shape(word)
+        # Two texts, a pair and a place in the table take about 200 bytes besides the letters.
+        self.bytes += 200 + 2 * (len(word) + len(form))
+        if self.bytes > REMEMBERED:
             self.clear()
-        found = self[word] = (shape(word), word.strip(".,;:!?").lower() in FUNCTION_WORDS)
+            self.bytes = 0
+        found = self[word] = (form, word.strip(".,;:!?").lower() in FUNCTION_WORDS)
         return found
 
 
@@ -149,12 +157,8 @@ def features(facts: Facts) -> tuple[list[int], list[float]]:
         at = linear.hashed(name, FEATURES)
         merged[at] = merged.get(at, 0.0) + value
 
-    named: dict[str, int] = {}
     for s, times in facts.shapes.items():
-        name = s[:SHAPE] + (s[-1] if len(s) > SHAPE else "")
-        named[name] = named.get(name, 0) + times
-    for name, times in named.items():
-        add(f"shape/{name}", (times / facts.n) ** 0.5)
+        add(f"shape/{s}", (times / facts.n) ** 0.5)
     for name in ("stutter", "distinct", "top", "function", "marked", "bare", "capital", "ends"):
         add(f"{name}/{min(int(getattr(facts, name) * 20), 20)}", 0.5)
     add(f"n/{min(facts.n, 1000).bit_length()}", 0.5)
@@ -179,11 +183,12 @@ def learn(docs: DataFrame, voted: DataFrame) -> tuple[dict[str, float], np.ndarr
     """(posterior of every pattern, weights of the scorer).
 
     Patterns are counted over all documents. The scorer learns from ``SAMPLE`` documents, whose ids are
-    broadcast and whose features reach the driver; both are bounded by that number.
+    broadcast and whose features reach the driver; both are bounded by that number. An id in many rows is one
+    document, with the text of the smallest hash.
     """
     patterns = {r.votes: r.n for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     belief = posteriors(patterns)
-    ids = voted.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
+    ids = voted.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     shapes: list[Shapes] = []
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -200,7 +205,8 @@ def learn(docs: DataFrame, voted: DataFrame) -> tuple[dict[str, float], np.ndarr
             names=["votes", "places", "amounts"],
         )
 
-    chosen = docs.join(F.broadcast(ids), "doc_id").select("text")
+    rows_of = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id")
+    chosen = rows_of.agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text")).select("text")
     rows = map_batches(chosen, work, "votes string, places array<int>, amounts array<float>").collect()
     rows.sort(key=lambda r: (r.votes, r.places, r.amounts))
     targets = np.array([belief[r.votes] for r in rows])
@@ -253,15 +259,21 @@ def classify(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def keep_good(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, with all columns, that ``classify`` keeps."""
+    """The rows, with all columns, that ``classify`` keeps.
+
+    Null and empty texts go; repeated rows are treated alike; an empty table gives an empty table; columns are found by
+    position, so others may be called as they like.
+    """
     docs = pick(df, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     _, weights = learn(docs, store(vote_table(docs), "votes"))
     shared = df.sparkSession.sparkContext.broadcast(weights)
     made: list[Scorer] = []
+    plain, at = by_position(df)
+    body = at[text]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not made:
             made.append(Scorer(shared.value))
-        return batch.filter(pa.array([made[0](t) >= THRESHOLD for t in texts(batch, text)], pa.bool_()))
+        return batch.filter(pa.array([made[0](t) >= THRESHOLD for t in texts(batch, body)], pa.bool_()))
 
-    return map_batches(df, work, df.schema, text)
+    return map_batches(plain, work, plain.schema, body).toDF(*df.columns)

@@ -13,6 +13,11 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def part(values: Column, at: Column, last: Column) -> Column:
+    """The values from ``at`` to ``last``, one at least, backwards if ``last`` lies before; ``slice`` would copy all values."""
+    return F.transform(F.sequence(at, last), lambda i: F.get(values, i))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as (start, end, value); code points, the end exclusive.
 

@@ -32,9 +32,8 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the line chunks, and the runs of short lines, that another one holds already."""
-    how = line_chunks.Chunking(runs="short")
-    return line_chunks.remove_repeated(documents(spark, sf_dir), how).select("doc_id", "text", "n_removed")
+    """Every document without the line chunks, and the runs of lines, that another one holds already."""
+    return line_chunks.remove_repeated(documents(spark, sf_dir)).select("doc_id", "text", "n_removed")
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
