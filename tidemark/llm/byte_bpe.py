@@ -18,11 +18,11 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, pick, texts
+from tidemark.llm.common import kept, map_batches, pick, texts
 
-# Bytes of pieces with their ids that one worker remembers before it starts afresh, and pairs of tokens.
-REMEMBERED = 24 * 1024 * 1024
-PAIRS = 200_000
+# Pieces whose ids one worker remembers before it starts afresh, some 100 MB.
+REMEMBERED = 400_000
+OWNER = "byte_bpe"
 SCHEMA = "doc_id bigint, ids binary, decoded binary"
 
 
@@ -32,14 +32,9 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.longest = max(map(len, ranks), default=0)
         self.whole: dict[int, bool] = {}
-        # Whether the token left may stand before the token right, by left << 32 | right.
-        self.pairs: dict[int, bool] = {}
-        # The longest token that ends in these three bytes; tokens of up to two bytes have no entry.
-        self.reach: dict[bytes, int] = {}
-        for token in ranks:
-            if len(token) > 2:
-                self.reach[token[-3:]] = max(self.reach.get(token[-3:], 0), len(token))
+        self.pairs: dict[tuple[int, int], bool] = {}
 
     @classmethod
     def parse(cls, content: bytes) -> Vocabulary:
@@ -66,12 +61,12 @@ class Vocabulary:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Merging the bytes of both tokens gives these two tokens."""
-        key = left << 32 | right
-        known = self.pairs.get(key)
+        known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= PAIRS:
+            if len(self.pairs) > 1_000_000:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+            known = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+            self.pairs[left, right] = known
         return known
 
 
@@ -88,9 +83,9 @@ class Prefixes:
         """Add bytes at the end; entries of earlier prefixes stay as they are."""
         v, last = self.vocabulary, self.last
         piece = self.piece = self.piece + more
-        get, reach, whole, pairs = v.ranks.get, v.reach.get, v.whole.get, v.pairs.get
+        get, longest, whole, pairs = v.ranks.get, v.longest, v.whole.get, v.pairs.get
         for end in range(len(last) + 1, len(piece) + 1):
-            for begin in range(max(0, end - reach(piece[end - 3 : end] if end > 2 else b"", 2)), end):
+            for begin in range(max(0, end - longest), end):
                 token = get(piece[begin:end])
                 if token is None:
                     continue
@@ -98,7 +93,7 @@ class Prefixes:
                 if fits is None:
                     fits = v.reachable(token)
                 if fits and begin:
-                    fits = pairs(last[begin - 1] << 32 | token)
+                    fits = pairs((last[begin - 1], token))
                     if fits is None:
                         fits = v.neighbours(last[begin - 1], token)
                 if fits:
@@ -133,7 +128,6 @@ class Remembered(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
@@ -141,11 +135,8 @@ class Remembered(dict):
         ids = [token] if token is not None else Prefixes(self.vocabulary, raw).ids()
         packed = np.array(ids, "<u4").tobytes()
         if len(raw) <= 64:
-            # A text, its ids and a place in the table take about 200 bytes besides their content.
-            self.bytes += 200 + len(raw) + len(packed)
-            if self.bytes > REMEMBERED:
+            if len(self) >= REMEMBERED:
                 self.clear()
-                self.bytes = 200 + len(raw) + len(packed)
             self[piece] = packed
         return packed
 
@@ -174,17 +165,14 @@ def load(spark: SparkSession, path: str) -> bytes:
     return bytes(rows[0].content)
 
 
-_loaded: dict[int, tuple[bytes, Vocabulary, Remembered]] = {}
-
-
 def _worker(content: bytes) -> tuple[Vocabulary, Remembered]:
-    """The parsed vocabulary of this Python worker; kept between tasks."""
-    key = hash(content)
-    if key not in _loaded or _loaded[key][0] != content:
-        _loaded.clear()
+    """The parsed vocabulary and what this Python worker remembers of its pieces, kept between tasks."""
+
+    def parsed() -> tuple[Vocabulary, Remembered]:
         vocabulary = Vocabulary.parse(content)
-        _loaded[key] = (content, vocabulary, Remembered(vocabulary))
-    return _loaded[key][1:]
+        return vocabulary, Remembered(vocabulary)
+
+    return kept(OWNER, content, parsed)
 
 
 def encode_decode(df: DataFrame, content: bytes, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,7 +196,7 @@ def encode_decode(df: DataFrame, content: bytes, pattern: str, doc_id: str = "do
         )
 
     found = pick(df, doc_id=doc_id, text=text)
-    return map_batches(found.withColumn("doc_id", F.col("doc_id").cast("bigint")), work, SCHEMA)
+    return map_batches(found.withColumn("doc_id", F.col("doc_id").cast("bigint")), work, SCHEMA, owner=OWNER)
 
 
 def n_tokens(ids: Column) -> Column:

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.checkpoints import store
 
-__all__ = ["BATCH_BYTES", "by_position", "documents", "map_batches", "pick", "slices", "store", "table", "texts"]
+__all__ = ["BATCH_BYTES", "by_position", "documents", "kept", "map_batches", "pick", "slices", "store", "table", "texts"]
 
 # Text given to one call of a Python batch function; a longer text is a batch of its own.
 BATCH_BYTES = 8 * 1024 * 1024
+# Rows that Spark hands to a Python worker at once; its own default of 10,000 whole texts takes room in both processes.
+BATCH_ROWS = 1_000
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,15 +69,37 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterat
         yield batch.slice(begin, rows - begin)
 
 
+# What one operator keeps between the tasks of this Python worker, by its name and key.
+_kept: dict[str, tuple[object, object]] = {}
+
+
+def kept(owner: str, key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives for ``key``, made once in this Python worker and kept until another operator's tasks run here."""
+    if owner not in _kept or _kept[owner][0] != key:
+        _kept.clear()
+        _kept[owner] = key, make()
+    return _kept[owner][1]
+
+
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text"
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text", owner: str = ""
 ) -> DataFrame:
-    """Apply ``work`` to byte-bounded Arrow batches; no shuffle, no state between batches."""
+    """Apply ``work`` to byte-bounded Arrow batches; no shuffle, no state between batches but what ``owner`` has ``kept``.
+
+    Workers outlive their tasks, so they give back what others have kept, and free buffers at the end of each task.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(ROWS_SETTING)) > BATCH_ROWS:
+        conf.set(ROWS_SETTING, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if owner not in _kept:
+            _kept.clear()
         for batch in batches:
             for part in slices(batch, text):
                 yield work(part)
+            del batch
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

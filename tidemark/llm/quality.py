@@ -26,8 +26,8 @@ GOOD, BAD, NONE = 1, 0, 2
 SAMPLE = 12_000
 FEATURES = 1 << 12
 THRESHOLD = 0.5
-# Bytes of words and shapes that one task remembers before it starts afresh.
-REMEMBERED = 8 * 1024 * 1024
+# Words whose shapes one task remembers before it starts afresh, some 50 MB.
+REMEMBERED = 200_000
 
 # Frequent words of the languages.
 FUNCTION_WORDS = frozenset(
@@ -49,18 +49,10 @@ def shape(word: str) -> str:
 class Shapes(dict):
     """Shapes of words seen before, and whether they are function words."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.bytes = 0
-
     def __missing__(self, word: str) -> tuple[str, bool]:
-        form = shape(word)
-        # Two texts, a pair and a place in the table take about 200 bytes besides the letters.
-        self.bytes += 200 + 2 * (len(word) + len(form))
-        if self.bytes > REMEMBERED:
+        if len(self) > REMEMBERED:
             self.clear()
-            self.bytes = 0
-        found = self[word] = (form, word.strip(".,;:!?").lower() in FUNCTION_WORDS)
+        found = self[word] = (shape(word), word.strip(".,;:!?").lower() in FUNCTION_WORDS)
         return found
 
 
@@ -184,7 +176,7 @@ def learn(docs: DataFrame, voted: DataFrame) -> tuple[dict[str, float], np.ndarr
 
     Patterns are counted over all documents. The scorer learns from ``SAMPLE`` documents, whose ids are
     broadcast and whose features reach the driver; both are bounded by that number. An id in many rows is one
-    document, with the text of the smallest hash.
+    document, with the text of the smallest hash, that weighs as much as its rows.
     """
     patterns = {r.votes: r.n for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     belief = posteriors(patterns)
@@ -198,19 +190,22 @@ def learn(docs: DataFrame, voted: DataFrame) -> tuple[dict[str, float], np.ndarr
         rows = [features(f) for f in facts]
         return pa.RecordBatch.from_arrays(
             [
+                batch.column("n"),
                 pa.array([votes(f) for f in facts], pa.string()),
                 pa.array([r[0] for r in rows], pa.list_(pa.int32())),
                 pa.array([r[1] for r in rows], pa.list_(pa.float32())),
             ],
-            names=["votes", "places", "amounts"],
+            names=["n", "votes", "places", "amounts"],
         )
 
     rows_of = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id")
-    chosen = rows_of.agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text")).select("text")
-    rows = map_batches(chosen, work, "votes string, places array<int>, amounts array<float>").collect()
+    chosen = rows_of.agg(F.count("*").alias("n"), F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))
+    made = map_batches(chosen.select("n", "text"), work, "n bigint, votes string, places array<int>, amounts array<float>")
+    rows = made.collect()
     rows.sort(key=lambda r: (r.votes, r.places, r.amounts))
-    targets = np.array([belief[r.votes] for r in rows])
-    return belief, linear.fit([r.places for r in rows], [r.amounts for r in rows], targets, FEATURES)
+    # Votes of rows that share an id may differ from those of its text here; patterns of no row say nothing.
+    targets, weights = np.array([belief.get(r.votes, 0.5) for r in rows]), np.array([float(r.n) for r in rows])
+    return belief, linear.fit([r.places for r in rows], [r.amounts for r in rows], targets, FEATURES, weights)
 
 
 class Scorer:
