@@ -118,8 +118,12 @@ def test_growth_after_zero_is_null(spark):
 
 
 def test_pivot_season_and_regions(orders):
-    pivot = {r["Region"]: tuple(r)[1:] for r in trends.revenue_pivot(orders).collect()}
-    assert pivot == {"East": (100.0, None, 150.0), "West": (7.0, None, 50.0)}
+    # A column for every category with rows; the fixed list has one for those without as well.
+    pivot = {r["Region"]: r.asDict() for r in trends.revenue_pivot(orders).collect()}
+    assert pivot["East"] == {"Region": "East", "Furniture": 100.0, "Technology": 150.0}
+    assert pivot["West"] == {"Region": "West", "Furniture": 7.0, "Technology": 50.0}
+    fixed = {r["Region"]: tuple(r)[1:] for r in trends.revenue_pivot(orders, values=trends.CATEGORIES).collect()}
+    assert fixed == {"East": (100.0, None, 150.0, None), "West": (7.0, None, 50.0, None)}
     season = {r["Month"]: (r["Sales"], r["Month_Name"]) for r in trends.seasonal_mean(orders).collect()}
     assert season == {1: (150.0, "Jan"), 3: (75.0, "Mar")}
     assert dict(rows(trends.group_revenue(orders, "Region"))) == {"East": 250.0, "West": 357.0}
@@ -190,3 +194,28 @@ def test_kpis_by_hand(spark):
     assert rows(kpi.on_time_vs_late(df)) == [("Feb-2017", 0, 1), ("Jan-2017", 2, 1)]
     board = {r["Month-Year"]: r for r in kpi.board(df).collect()}
     assert board["Jan-2017"]["total_revenue"] == 60.0 and board["Jan-2017"]["late"] == 1 and board["Jan-2017"]["profit_margin_pct"] == 10.0
+
+
+def test_series_of_several_keys_have_their_own_gaps(spark):
+    data = [("a", "2020-01-05", 4.0, 1), ("a", "2020-03-09", 6.0, 2), ("a", "2020-04-01", 8.0, 3), ("b", "2019-11-30", 5.0, 1), (None, "2020-02-01", 1.0, 1), (None, "2020-04-01", 2.0, 1)]
+    df = spark.createDataFrame(data, "k string, d string, Sales double, Quantity int").withColumn("Order Date", F.col("d").cast("timestamp_ntz"))
+    months = trends.monthly_totals(df, by=["k"], fill_gaps=True)
+    got = rows(months.select("k", "Month-Year", "Sales", "Quantity"))
+    want = [("a", "Jan-2020", 4.0, 1), ("a", "Feb-2020", None, None), ("a", "Mar-2020", 6.0, 2), ("a", "Apr-2020", 8.0, 3), ("b", "Nov-2019", 5.0, 1)]
+    want += [(None, "Feb-2020", 1.0, 1), (None, "Mar-2020", None, None), (None, "Apr-2020", 2.0, 1)]
+    assert got == sorted(want, key=repr)
+    plain = trends.monthly_totals(df, by=["k"])
+    growth = {(r["k"], r["Month-Year"]): r["Sales_Growth_%"] for r in trends.growth_table(plain, by=["k"], fill_gaps=True).collect()}
+    assert growth["a", "Mar-2020"] is None and round(growth["a", "Apr-2020"], 3) == 33.333 and len(growth) == 8
+    assert rows(trends.revenue_trend(plain, by=["k"], fill_gaps=True)) == rows(trends.revenue_trend(months, by=["k"]))
+    report = trends.trend_report(df.withColumn("date", F.col("d").cast("date")), revenue="Sales", units="Quantity", by=["k"], fill_gaps=True)
+    assert report.count() == 8
+    assert trends.monthly_totals(df.limit(0), by=["k"], fill_gaps=True).count() == 0
+
+
+def test_matrix_of_more_values_than_columns(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("Region"), F.concat(F.lit("p"), "id").alias("Category"), F.lit(2.0).alias("Sales"))
+    few = trends.revenue_matrix(df.filter("Category in ('p0', 'p1', 'p3')"))
+    assert few.columns == ["Region", "p0", "p1", "p3"] and rows(few) == sorted([(0, 2.0, None, 2.0), (1, None, 2.0, None)], key=repr)
+    many = {r["Region"]: r["revenue"] for r in trends.revenue_matrix(df).collect()}
+    assert sum(len(m) for m in many.values()) == 20_000 and many[1]["p4"] == 2.0 and "p4" not in many[0]

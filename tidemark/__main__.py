@@ -18,6 +18,7 @@ from tidemark.operators.cleaning import rename
 from tidemark.plans import activity, dashboard, financials, fraud, ledger, store, supply, taxi
 from tidemark.sources import read_delimited, schemas, write_delimited, write_lines
 from tidemark.sources.checkpoints import discard
+from tidemark.sources.checkpoints import store as store_table
 
 LATIN_1 = "ISO-8859-1"
 
@@ -58,12 +59,15 @@ def run(
             raise SystemExit("the ledger job needs --vendors, a CSV with a vendor_id column")
         types = schemas.FINANCIAL_RECORDS
         back = {standard: own for own, standard in (names or {}).items()}
-        records = read_delimited(spark, source, {back.get(c, c): kind for c, kind in types.items()})
-        records = rename(records, names or {})
+        records = read_delimited(spark, source, {back.get(c, c): kind for c, kind in types.items()}, position=True)
+        # Read several times, and each time in the order of the file: written once.
+        records = store_table(rename(records, names or {}), "records")
         tables = ledger.results(records, read_delimited(spark, vendors))
     else:
         types, encoding, results = JOBS[job]
-        tables = results(read_delimited(spark, source, types, encoding))
+        table = read_delimited(spark, source, types, encoding, position=job == "store")
+        # Of orders listed twice the one that comes first in the file stays.
+        tables = results(store_table(table, "orders") if job == "store" else table)
     write_results(tables, folder)
 
 

@@ -11,6 +11,7 @@ from tidemark.functions.calendar import (
 )
 from tidemark.functions.parsing import (
     NULL_TOKENS,
+    POSITION,
     blank_to_null,
     is_iso_date,
     iso_date,
@@ -37,6 +38,7 @@ from tidemark.functions.scalars import (
 
 __all__ = [
     "NULL_TOKENS",
+    "POSITION",
     "bin_label",
     "blank_to_null",
     "clip",

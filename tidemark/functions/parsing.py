@@ -7,6 +7,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The column in which rows carry their place in the files they were read from.
+POSITION = "row_position"
+
 # The texts that the usual CSV readers take as "missing".
 NULL_TOKENS = (
     "",

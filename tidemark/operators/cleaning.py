@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import count_where, holds, parse_timestamp, strip
+from tidemark.functions import POSITION, count_where, holds, parse_timestamp, strip
 from tidemark.operators.statistics import melt, scalar_quantiles
 
 
@@ -77,13 +77,18 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    """Keep one of each set of equal rows; NULLs compare as equal."""
-    return df.dropDuplicates()
+    """Keep one of each set of equal rows, the first if rows carry their position; NULLs compare as equal."""
+    if POSITION not in df.columns:
+        return df.dropDuplicates()
+    others = [F.col(f"`{c}`") for c in df.columns if c != POSITION]
+    found = df.groupBy(*others).agg(F.min(POSITION).alias(POSITION))
+    return found.select(*[f"`{c}`" for c in df.columns])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """Keep the first row per key in the given order (add a tie-break so that the order is total).
 
+    ``POSITION`` orders by the place in the files that were read (see ``sources.read_delimited``), which is total.
     ``row_number() = 1`` lets Spark cut every key to one row per map task before the shuffle, so a key
     holding a large part of the table is reduced where it is read.
     """

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import count_where, holds
+from tidemark.functions import POSITION, count_where, holds
 
 SEVERITY_WEIGHTS = {"Critical": 3, "Major": 2, "Minor": 1}
 GRADES = ((90, "A"), (75, "B"), (60, "C"))
@@ -94,7 +94,7 @@ def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             aggregates.append(count_where(rule.violation).alias(f"v{i}"))
             violations, checked = F.col(f"v{i}"), F.col("n")
         elif isinstance(rule, CompletenessRule):
-            columns = list(rule.columns or df.columns)
+            columns = list(rule.columns or [c for c in df.columns if c != POSITION])
             aggregates += [F.count(F.col(f"`{c}`")).alias(f"f{i}_{k}") for k, c in enumerate(columns)]
             violations = F.lit(0).cast("bigint")
             for k in range(len(columns)):
@@ -173,13 +173,14 @@ def _samples(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequen
 def run_rules(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str] = ()) -> DataFrame:
     """The rule report: rule, severity, status, violations, checked, sample_ids.
 
-    ``sample_ids`` lists the first ten violating records in ``order_by`` order (default: record order),
-    followed by an ellipsis when there are more.
+    ``sample_ids`` lists the first ten violating records in ``order_by`` order (default: the order of the file if
+    the rows carry their position, else record order), followed by an ellipsis when there are more.
     """
     names = [F.struct(F.lit(i).alias("position"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)]
     catalogue = df.sparkSession.range(1).select(F.inline(F.array(*names)))
     ids = F.transform(F.array_sort(F.collect_list(F.struct("sample_no", "record"))), lambda s: s["record"])
-    samples = _samples(df, rules, record, order_by or [record]).groupBy("position").agg(
+    order = order_by or [POSITION if POSITION in df.columns else record]
+    samples = _samples(df, rules, record, order).groupBy("position").agg(
         F.array_join(ids, ", ", "").alias("sample_ids")
     )
     # Both sides hold one row per rule.

@@ -36,27 +36,38 @@ def monthly_totals(
     quantity: str = "Quantity",
     scale: int | None = None,
     fill_gaps: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Sales and quantity per calendar month: month (date), Month-Year (label), Sales, Quantity."""
+    """Sales and quantity per calendar month, and per ``by`` if given: month (date), Month-Year (label), Sales, Quantity."""
     months = (
         df.filter(F.col(f"`{date}`").isNotNull())
-        .groupBy(month_start(F.col(f"`{date}`")).alias("month"))
+        .groupBy(*[F.col(f"`{c}`") for c in by], month_start(F.col(f"`{date}`")).alias("month"))
         .agg(
             total(F.col(f"`{sales}`"), scale).alias("Sales"),
             F.coalesce(F.sum(F.col(f"`{quantity}`")), F.lit(0)).cast("bigint").alias("Quantity"),
         )
     )
     if fill_gaps:
-        months = with_missing_months(months, "month")
-    return months.withColumn("Month-Year", month_label(F.col("month"))).select("month", "Month-Year", "Sales", "Quantity")
+        months = with_missing_months(months, "month", by)
+    return months.withColumn("Month-Year", month_label(F.col("month"))).select(*[f"`{c}`" for c in by], "month", "Month-Year", "Sales", "Quantity")
 
 
-def with_missing_months(months: DataFrame, month: str = "month") -> DataFrame:
-    """Add rows (NULL measures) for months without data between the first and the last one."""
-    spine = months.agg(F.min(month).alias("a"), F.max(month).alias("b")).select(
-        F.explode(F.expr("sequence(a, b, interval 1 month)")).alias(month)
-    )
-    return spine.join(months, month, "left")
+def with_missing_months(months: DataFrame, month: str = "month", by: Sequence[str] = ()) -> DataFrame:
+    """Add rows (NULL measures) for months without data between the first and the last one, of each ``by`` on its own.
+
+    ``months`` has one row per month (and key). Each row brings the empty months up to the next one with it, so the
+    series needs no join, and a NULL key is a key like others.
+    """
+    keys = [F.col(f"`{c}`") for c in by]
+    after = F.lead(F.col(f"`{month}`")).over(Window.partitionBy(*keys).orderBy(F.col(f"`{month}`")))
+    until = F.coalesce(F.add_months(after, -1), F.col(f"`{month}`"))
+    spine = months.withColumn("_months", F.sequence(F.col(f"`{month}`"), until, F.expr("interval 1 month")))
+    each = spine.select("*", F.posexplode("_months").alias("_at", "_month"))
+    filled = [
+        F.col("_month").alias(c) if c == month else F.col(f"`{c}`") if c in by else F.when(F.col("_at") == 0, F.col(f"`{c}`")).alias(c)
+        for c in months.columns
+    ]
+    return each.select(*filled)
 
 
 def series_order(order: str = "chronological") -> str:
@@ -96,14 +107,24 @@ def growth_pct(
     return df.withColumn(out, F.try_divide((F.col(f"`{value}`") - before).cast("double"), before.cast("double")) * 100)
 
 
-def revenue_trend(months: DataFrame, order: str = "chronological", by: Sequence[str] = ()) -> DataFrame:
-    """Monthly sales with the centred three-month mean."""
+def _series(months: DataFrame, by: Sequence[str], fill_gaps: bool) -> DataFrame:
+    """A monthly table as it is, or with its missing months and their labels."""
+    if not fill_gaps:
+        return months
+    return with_missing_months(months, "month", by).withColumn("Month-Year", month_label(F.col("month")))
+
+
+def revenue_trend(months: DataFrame, order: str = "chronological", by: Sequence[str] = (), fill_gaps: bool = False) -> DataFrame:
+    """Monthly sales with the centred three-month mean; with ``fill_gaps`` over calendar months instead of rows."""
+    months = _series(months, by, fill_gaps)
     return rolling_mean(months, "Sales", series_order(order), "rolling_avg_3m", by=by)
 
 
-def growth_table(months: DataFrame, order: str = "chronological", by: Sequence[str] = ()) -> DataFrame:
-    """Growth of sales and quantity side by side, from one table with both sums."""
+def growth_table(months: DataFrame, order: str = "chronological", by: Sequence[str] = (), fill_gaps: bool = False) -> DataFrame:
+    """Growth of sales and quantity side by side, from one table with both sums; with ``fill_gaps`` a month after one
+    without data has no growth."""
     key = series_order(order)
+    months = _series(months, by, fill_gaps)
     out = growth_pct(months, "Sales", key, "Sales_Growth_%", by)
     out = growth_pct(out, "Quantity", key, "Quantity_Growth_%", by)
     return out.select(*by, "month", "Month-Year", "Sales_Growth_%", "Quantity_Growth_%")
@@ -129,8 +150,14 @@ def trend_report(
     units: str = "units_sold",
     threshold: float = 15.0,
     by: Sequence[str] = (),
+    fill_gaps: bool = False,
 ) -> DataFrame:
-    """Growth and trailing three-row means (from the first row on) of a dated series, with anomaly mark."""
+    """Growth and trailing three-row means (from the first row on) of a dated series, with anomaly mark.
+
+    With ``fill_gaps`` the dates are months, and those missing between the first and the last are added.
+    """
+    if fill_gaps:
+        df = with_missing_months(df.withColumn(date, F.trunc(F.col(f"`{date}`").cast("date"), "month")), date, by)
     out = growth_pct(df, revenue, date, "rev_mom_pct", by)
     out = growth_pct(out, units, date, "units_mom_pct", by)
     for value, name in ((revenue, "rev_roll3"), (units, "units_roll3")):
@@ -207,6 +234,23 @@ def revenue_pivot(
     return cells.groupBy(cells.columns[0]).pivot("_column", [*values, "other"] if values is not None else None).agg(F.first("_total"))
 
 
+def revenue_matrix(
+    df: DataFrame, rows: str = "Region", columns: str = "Category", sales: str = "Sales", scale: int | None = None, widest: int = 5_000
+) -> DataFrame:
+    """Revenue matrix for any number of values: a column each up to ``widest`` of them, else one map column ``revenue``
+    (value -> revenue, by value) with the same content.
+
+    Only the number of different values, and up to ``widest`` of them, reach the driver; a map holds the values of one row.
+    """
+    known = _known(df, rows, columns).withColumn("_column", F.col(f"`{columns}`").cast("string"))
+    cells = store(known.groupBy(F.col(f"`{rows}`"), "_column").agg(total_or_null(F.col(f"`{sales}`"), scale).alias("_total")), "matrix-cells")
+    values = [r["_column"] for r in cells.select("_column").distinct().limit(widest + 1).collect()]
+    if len(values) <= widest:
+        return cells.groupBy(F.col(f"`{rows}`")).pivot("_column", sorted(values)).agg(F.first("_total"))
+    entries = F.array_sort(F.collect_list(F.struct("_column", "_total")))
+    return cells.groupBy(F.col(f"`{rows}`")).agg(F.map_from_entries(entries).alias("revenue"))
+
+
 def total_or_null(c: Column, scale: int | None = None) -> Column:
     """Sum that stays NULL for a cell without rows."""
     return F.when(F.count(c) > 0, total(c, scale))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import month_label, quarter_label, safe_ratio
+from tidemark.functions import POSITION, month_label, quarter_label, safe_ratio
 from tidemark.operators import trends
 from tidemark.operators.cleaning import (
     drop_missing,
@@ -50,12 +50,12 @@ def derive(orders: DataFrame) -> DataFrame:
 def clean(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Valid orders, one row per order and product: the first one in ``order_by``.
 
-    Without ``order_by`` (there is no line number to go by) the remaining columns decide.
+    Without ``order_by`` the first one in the file decides, if the rows carry their position, else the remaining columns.
     """
     orders = typed(raw)
-    order = list(order_by or [c for c in orders.columns if c not in KEYS])
+    rest = [POSITION] if POSITION in orders.columns else [c for c in orders.columns if c not in KEYS]
     orders = keep_positive(drop_missing(orders, ["Order Date"]), "Sales", "Quantity")
-    return derive(keep_first(orders, KEYS, [F.col(f"`{c}`") for c in order]))
+    return derive(keep_first(orders, KEYS, [F.col(f"`{c}`") for c in order_by or rest]).drop(POSITION))
 
 
 def filter_steps() -> list[tuple[str, Column]]:

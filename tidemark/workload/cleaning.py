@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import sources
 from tidemark.functions import (
+    POSITION,
     bin_label,
     is_iso_date,
     month_label,
@@ -18,7 +20,7 @@ from tidemark.operators import cleaning, statistics
 from tidemark.sources import read_delimited, write_delimited
 from tidemark.sources.checkpoints import fresh_path
 from tidemark.workload import tables as t
-from tidemark.workload.base import Query, read_table, rounded
+from tidemark.workload.base import SCHEMAS, Query, read_table, rounded
 
 FORMATS = ("d/M/yyyy", "M/d/yyyy")
 
@@ -62,6 +64,13 @@ def dedup_keyed(spark, folder):
     )
 
 
+def first_in_file(spark, folder):
+    """The line of every part that comes first in the file, and the rows that were dropped for it."""
+    lines = sources.read_table(spark, folder, "lineitem", SCHEMAS["lineitem"], position=True)
+    kept = cleaning.keep_first(lines, ["l_partkey"], [F.col(POSITION)])
+    return kept.select("l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice", F.col(f"{POSITION}.row").alias("row"))
+
+
 def duplicate_rows(spark, folder):
     return cleaning.duplicate_rows(read_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -213,6 +222,12 @@ QUERIES: dict[str, Query] = {
            from (select *, row_number() over (partition by l_orderkey, l_partkey order by l_shipdate, l_linenumber, l_suppkey,
                    l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) as rn from lineitem) where rn = 1""",
     ),
+    "first_in_file": Query(
+        first_in_file,
+        """select l_partkey, l_orderkey, l_linenumber, l_extendedprice, n - 1 as "row"
+           from (select *, row_number() over (partition by l_partkey order by n) as k from (select *, row_number() over () as n from lineitem))
+           where k = 1""",
+    ),
     "duplicate_rows": Query(
         duplicate_rows,
         """select count(*) as "rows", count(distinct (l_orderkey, l_linenumber)) as distinct_rows,

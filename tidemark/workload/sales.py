@@ -72,8 +72,29 @@ def sums_by(spark: SparkSession, folder: str, *keys) -> DataFrame:
 
 
 def regional_revenue_pivot(spark, folder):
-    sums = sums_by(spark, folder, "Product ID", "supplier")
-    return rounded(trends.revenue_pivot(t.with_region(t.with_category(sums, spark, folder), spark, folder), scale=2))
+    # Products and suppliers are small beside the lines and joined by broadcast where their size allows; the few cells are
+    # summed where the lines are read.
+    lines = t.with_region(t.with_category(t.store_lines(spark, folder), spark, folder), spark, folder)
+    return rounded(trends.revenue_pivot(lines, scale=2))
+
+
+def supplier_trend(spark, folder):
+    """Every supplier's monthly sales with its own missing months, means over calendar months."""
+    series = trends.monthly_totals(t.store_lines(spark, folder), scale=2, fill_gaps=True, by=["supplier"])
+    return text_month(trends.revenue_trend(series, by=["supplier"]))
+
+
+def supplier_growth(spark, folder):
+    """Growth from month to month where both have sales, for every supplier."""
+    series = trends.monthly_totals(t.store_lines(spark, folder), scale=2, by=["supplier"])
+    return text_month(trends.growth_table(series, by=["supplier"], fill_gaps=True))
+
+
+def product_region_matrix(spark, folder):
+    """Revenue by region and product, more products than a table can have columns, as one map each."""
+    lines = t.with_region(t.store_lines(spark, folder), spark, folder)
+    found = trends.revenue_matrix(lines, "Region", "Product ID", scale=2, widest=100)
+    return found.select("Region", F.size("revenue").alias("products"), F.explode("revenue").alias("product", "Sales"))
 
 
 def seasonal_avg(spark, folder):
@@ -183,6 +204,19 @@ CLEAN_STORE = f"""
 # The part types that the SQL pivots, which must name its columns; the queries find them.
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
+# The months of every supplier from its first to its last one.
+SUPPLIER_MONTHS = """
+  with sums as (
+    select l_suppkey as supplier, date_trunc('month', l_shipdate)::date as m, sum(cast(l_extendedprice as decimal(18,2)))::double as sales,
+           sum(l_quantity::int)::bigint as quantity
+    from lineitem where l_shipdate is not null group by 1, 2
+  ), spine as (
+    select supplier, unnest(generate_series(min(m), max(m), interval 1 month))::date as m from sums group by 1
+  ), filled as (
+    select spine.supplier, spine.m, sales, quantity from spine left join sums on sums.supplier = spine.supplier and sums.m = spine.m
+  )
+"""
+
 QUERIES: dict[str, Query] = {
     "monthly_revenue_trend": Query(
         monthly_revenue_trend,
@@ -238,6 +272,26 @@ QUERIES: dict[str, Query] = {
         )
         + f" from ({t.STORE}) group by 1",
     ),
+    "supplier_trend": Query(
+        supplier_trend,
+        f"""{SUPPLIER_MONTHS}
+            select supplier, strftime(m, '%Y-%m') as "month", strftime(m, '%b-%Y') as "Month-Year", round(sales, 4) as "Sales", quantity as "Quantity",
+                   round(case when count(sales) over w = 3 then avg(sales) over w end, 4) as rolling_avg_3m
+            from filled window w as (partition by supplier order by m rows between 1 preceding and 1 following)""",
+    ),
+    "supplier_growth": Query(
+        supplier_growth,
+        f"""{SUPPLIER_MONTHS}
+            select supplier, strftime(m, '%Y-%m') as "month", strftime(m, '%b-%Y') as "Month-Year",
+                   round((sales - lag(sales) over w) / nullif(lag(sales) over w, 0) * 100, 4) as "Sales_Growth_%",
+                   round((quantity - lag(quantity) over w)::double / nullif(lag(quantity) over w, 0) * 100, 4) as "Quantity_Growth_%"
+            from filled window w as (partition by supplier order by m)""",
+    ),
+    "product_region_matrix": Query(
+        product_region_matrix,
+        f"""with c as (select region, product_id, sum(sales::decimal(18,2))::double as sales from ({t.STORE}) group by 1, 2)
+            select region as "Region", (count(*) over (partition by region))::int as products, product_id::varchar as product, sales as "Sales" from c""",
+    ),
     "seasonal_avg": Query(
         seasonal_avg,
         """select month(o_orderdate)::int as "Month", round(avg(o_totalprice), 4) as "Sales",
