@@ -42,6 +42,44 @@ def store(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, whatever store it is in, and the path as that system has it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the tables below a folder that were written to their end, rising."""
+    system, where = _files(spark, folder)
+    if not system.exists(where):
+        return []
+    named = [s.getPath().getName() for s in system.listStatus(where)]
+    numbers = [int(n.removeprefix("version=")) for n in named if n.startswith("version=")]
+    return sorted(n for n in numbers if system.exists(_files(spark, f"{folder}/version={n}/_SUCCESS")[1]))
+
+
+def write_version(df: DataFrame, folder: str, number: int) -> DataFrame:
+    """One numbered table below a folder; what a failed attempt left of it is overwritten."""
+    path = f"{folder}/version={number}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def read_version(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame | None:
+    """A numbered table, the newest one by default; None if there is none."""
+    known = versions(spark, folder)
+    number = (known or [None])[-1] if number is None else number
+    return spark.read.parquet(f"{folder}/version={number}") if number in known else None
+
+
+def drop_versions(spark: SparkSession, folder: str, before: int) -> None:
+    """Delete the tables with smaller numbers."""
+    for n in versions(spark, folder):
+        if n < before:
+            system, where = _files(spark, f"{folder}/version={n}")
+            system.delete(where, True)
+
+
 def discard(spark: SparkSession) -> int:
     """Delete the tables that ``store`` wrote in this process, once nothing reads them any more; how many there were."""
     files, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()

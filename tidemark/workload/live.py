@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.streaming import live
+from tidemark.sources.checkpoints import fresh_path
+from tidemark.streaming import incremental, live
 from tidemark.workload import tables as t
 from tidemark.workload.base import SCHEMAS, Query, rounded
 
@@ -42,6 +43,26 @@ def live_kpi_alerts(spark, folder):
     )
 
 
+def timed_events(spark, folder):
+    return event_stream(spark, folder).withColumn("event_time", F.col("ts").cast("timestamp"))
+
+
+def live_totals(spark, folder):
+    """Daily totals per type, merged micro-batch by micro-batch."""
+    kept = incremental.Kept(fresh_path(spark, "live-totals"), ("event_type",), "value")
+    incremental.run_available(timed_events(spark, folder), incremental.merge_totals(kept), kept.at("checkpoint"))
+    found = incremental.totals(spark, kept).drop("window_end")
+    return rounded(found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "*").drop("window_start"))
+
+
+def live_sessions(spark, folder):
+    """Sessions of each user: events at most a day apart."""
+    kept = incremental.Kept(fresh_path(spark, "live-sessions"), ("user_id",), "value")
+    incremental.run_available(timed_events(spark, folder), incremental.merge_sessions(kept, "1 day"), kept.at("checkpoint"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return rounded(incremental.sessions(spark, kept, "1 day").select("user_id", text("session_start"), text("session_end"), "rows", "actual_value"))
+
+
 QUERIES: dict[str, Query] = {
     "live_scores": Query(
         live_scores,
@@ -62,4 +83,19 @@ QUERIES: dict[str, Query] = {
               on c.d = k."month" and c.e = k.kpi_id
             where abs(actual_value - target_value) / target_value * 100 > 20""",
     ),
+    "live_totals": Query(
+        live_totals,
+        """select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as "rows", sum(round(value * 100)::decimal(38,0))::double / 100 as actual_value,
+                  round(sum(round(value * 100)::decimal(38,0))::double / 100 / count(value), 4) as mean_value,
+                  round(min(value), 4) as min_value, round(max(value), 4) as max_value
+           from events where ts is not null group by 1, 2""",
+    ),
+    "live_sessions": Query(
+        live_sessions,
+        """with marked as (select *, coalesce(ts > lag(ts) over (partition by user_id order by ts) + interval 1 day, true)::int as b from events where ts is not null),
+                islands as (select *, sum(b) over (partition by user_id order by ts rows unbounded preceding) as i from marked)
+           select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as session_start, strftime(max(ts) + interval 1 day, '%Y-%m-%d %H:%M:%S') as session_end,
+                  count(*) as "rows", sum(round(value * 100)::decimal(38,0))::double / 100 as actual_value
+           from islands group by user_id, i""",
+    ),
 }
