@@ -32,7 +32,6 @@ PREFIXES = (4, 5, 6, 7, 8)
 # Bounds of what is learned from: labelled rows taken, in the order of a hash of their id, of either label.
 TOXIC_ROWS = 8_192
 CLEAN_ROWS = 32_768
-CANDIDATES = 5_000
 # Different words that stand before a term, and the share of the most frequent one: a term of copied passages
 # stands in the same few contexts again and again.
 CONTEXTS = 8
@@ -227,8 +226,9 @@ def freely_used(toxic: DataFrame, candidates: list[str]) -> set[str]:
 def lexicon(examples: DataFrame) -> list[str]:
     """Words, and beginnings of longer words, that toxic documents hold far more often, by the log-likelihood ratio.
 
-    ``examples`` (text, label) is bounded by ``sample``; terms are counted once a document, in Spark, and the
-    ``CANDIDATES`` strongest reach the driver. Of these stay the ones that stand in different contexts.
+    ``examples`` (text, label) is bounded by ``sample``; terms are counted once a document, in Spark, and all with enough
+    evidence reach the driver: such a term stands in several of the toxic documents, so their words bound the
+    number. Of these stay the ones that stand in different contexts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,8 +265,9 @@ def lexicon(examples: DataFrame) -> list[str]:
     rated = sums.where((F.col("b") >= 5) & (F.col("b") / toxic > 4 * F.col("a") / clean)).withColumn(
         "evidence", 2 * (gain("a", clean / (clean + toxic)) + gain("b", toxic / (clean + toxic)))
     )
-    best = rated.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "term").limit(CANDIDATES)
-    found = {r.term: (r.evidence, r.a, r.b) for r in best.collect()}
+    best = rated.where(F.col("evidence") >= EVIDENCE).select("term", "evidence", "a", "b")
+    strongest = sorted(best.collect(), key=lambda r: (-r.evidence, r.term))
+    found = {r.term: (r.evidence, r.a, r.b) for r in strongest}
     free = freely_used(examples.where("label = 1"), list(found))
     found = {t: f for t, f in found.items() if t in free}
     # The shortest beginning that clean documents hardly use stands for all that begin with it, unless one word
