@@ -155,14 +155,16 @@ def overview(rows: DataFrame) -> DataFrame:
 
 def results(raw: DataFrame, segments: Sequence[str] = SEGMENTS) -> dict[str, DataFrame]:
     """All result tables of the job by name."""
-    # Read by every table below, and de-duplicated at the cost of a shuffle of all columns: written once.
-    rows = store(clean(raw), "financials")
+    # The texts are parsed once; the rows are read by every table below, and de-duplicated at the cost of a shuffle of
+    # all columns: both are written once.
+    parsed = store(typed(raw), "financials-typed")
+    rows = store(drop_duplicates(parsed), "financials")
     table = store(checks(rows, raw), "financial-checks")
     limits = {c: r for c, r in LIMITS.items() if c in rows.columns}
     return {
         "validated_financials": validated(rows),
         "amount_failures": amount_failures(raw),
-        "duplicates": duplicate_rows(typed(raw)),
+        "duplicates": duplicate_rows(parsed),
         "out_of_range": out_of_range(rows, limits),
         "unexpected_segments": unexpected_values(rows, "Segment", segments),
         "completeness": completeness(rows),

@@ -20,6 +20,7 @@ from tidemark.operators.cleaning import (
 )
 from tidemark.sources.checkpoints import store
 
+# Column names of the input file.
 KEY_COLUMNS = (
     "order date (DateOrders)",
     "Department Name",
@@ -35,6 +36,7 @@ KEY_COLUMNS = (
     "Order Region",
     "Order Country",
 )
+# Column names of the input file.
 NEW_NAMES = {
     "order date (DateOrders)": "Order Date",
     "Sales per customer": "Sales",
