@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.checkpoints import fresh_path
 from tidemark.streaming import incremental, live
 from tidemark.workload import tables as t
-from tidemark.workload.base import SCHEMAS, Query, rounded
+from tidemark.workload.base import SCHEMAS, Query, cents, rounded, sql_cents
 
 
 def event_stream(spark, folder):
@@ -51,7 +51,7 @@ def live_totals(spark, folder):
     """Daily totals per type, merged micro-batch by micro-batch."""
     kept = incremental.Kept(fresh_path(spark, "live-totals"), ("event_type",), "value")
     incremental.run_available(timed_events(spark, folder), incremental.merge_totals(kept), kept.at("checkpoint"))
-    found = incremental.totals(spark, kept).drop("window_end")
+    found = incremental.totals(spark, kept).drop("window_end").withColumn("mean_value", cents(F.col("mean_value")))
     return rounded(found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "*").drop("window_start"))
 
 
@@ -86,9 +86,8 @@ QUERIES: dict[str, Query] = {
     "live_totals": Query(
         live_totals,
         """select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as "rows", sum(round(value * 100)::decimal(38,0))::double / 100 as actual_value,
-                  round(sum(round(value * 100)::decimal(38,0))::double / 100 / count(value), 4) as mean_value,
-                  round(min(value), 4) as min_value, round(max(value), 4) as max_value
-           from events where ts is not null group by 1, 2""",
+                  {mean} as mean_value, round(min(value), 4) as min_value, round(max(value), 4) as max_value
+           from events where ts is not null group by 1, 2""".format(mean=sql_cents("sum(round(value * 100)::decimal(38,0))::double / 100 / count(value)")),
     ),
     "live_sessions": Query(
         live_sessions,
