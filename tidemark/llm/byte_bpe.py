@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept, map_batches, pick, texts
 
-# Pieces whose ids one worker remembers before it starts afresh, some 100 MB.
+# Pieces whose ids one worker remembers, some 100 MB.
 REMEMBERED = 400_000
+ENDING = 4
 OWNER = "byte_bpe"
 SCHEMA = "doc_id bigint, ids binary, decoded binary"
 
@@ -32,7 +33,12 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks), default=0)
+        # The longest token with each ending of ENDING bytes; where none has it, tokens there are shorter than that.
+        self.longest: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) >= ENDING:
+                ending = token[-ENDING:]
+                self.longest[ending] = max(self.longest.get(ending, 0), len(token))
         self.whole: dict[int, bool] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -83,22 +89,26 @@ class Prefixes:
         """Add bytes at the end; entries of earlier prefixes stay as they are."""
         v, last = self.vocabulary, self.last
         piece = self.piece = self.piece + more
-        get, longest, whole, pairs = v.ranks.get, v.longest, v.whole.get, v.pairs.get
+        get, longest, pairs = v.ranks.get, v.longest.get, v.pairs.get
         for end in range(len(last) + 1, len(piece) + 1):
-            for begin in range(max(0, end - longest), end):
-                token = get(piece[begin:end])
-                if token is None:
+            begin = end - longest(piece[end - ENDING : end], ENDING - 1) if end >= ENDING else 0
+            if begin <= 0:
+                token = get(piece[:end])
+                if token is not None and v.reachable(token):
+                    last.append(token)
                     continue
-                fits = whole(token)
-                if fits is None:
-                    fits = v.reachable(token)
-                if fits and begin:
+                begin = 1
+            while begin < end:
+                token = get(piece[begin:end])
+                if token is not None:
+                    # Neighbours are reachable each on its own.
                     fits = pairs((last[begin - 1], token))
                     if fits is None:
                         fits = v.neighbours(last[begin - 1], token)
-                if fits:
-                    last.append(token)
-                    break
+                    if fits:
+                        last.append(token)
+                        break
+                begin += 1
             else:
                 raise ValueError("the vocabulary lacks a single byte")
 
@@ -123,19 +133,28 @@ class Prefixes:
 
 
 class Remembered(dict):
-    """Ids of pieces as little-endian 32-bit bytes, computed on first sight."""
+    """Ids of pieces as little-endian 32-bit bytes, computed on first sight.
+
+    When half of the room is filled, the pieces become the older half and the older half before them goes; a piece met
+    again comes back from it, so frequent ones stay.
+    """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, room: int = REMEMBERED):
         super().__init__()
         self.vocabulary = vocabulary
+        self.half = max(1, room // 2)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        token = self.vocabulary.ranks.get(raw)
-        ids = [token] if token is not None else Prefixes(self.vocabulary, raw).ids()
-        packed = np.array(ids, "<u4").tobytes()
-        if len(raw) <= 64:
-            if len(self) >= REMEMBERED:
+        packed = self.older.get(piece)
+        if packed is None:
+            raw = piece.encode("utf-8")
+            token = self.vocabulary.ranks.get(raw)
+            ids = [token] if token is not None else Prefixes(self.vocabulary, raw).ids()
+            packed = np.array(ids, "<u4").tobytes()
+        if len(piece) <= 64:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
