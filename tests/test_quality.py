@@ -210,3 +210,47 @@ def test_financial_job(raw):
     failures = {r["column"]: r["failures"] for r in tables["amount_failures"].collect()}
     assert failures["Units Sold"] == 1 and failures["COGS"] == 0
     assert tables["overview"].first()["segments"] == 3
+
+
+def keyed_rules():
+    return [
+        q.RowRule("positive", "Critical", q.not_positive("v")),
+        q.UniqueRule("one column", "Critical", ("k",)),
+        q.UniqueRule("two columns", "Major", ("k", "v")),
+    ]
+
+
+def test_rules_of_keys_equal_counting(spark):
+    """Every rule against plain Python: NULL keys, both zeros, a hot key, a reference of another type with a NULL in it."""
+    data = [(i, None if i % 11 == 0 else 0.0 if i % 5 < 3 else i % 37 - 0.0, None if i % 29 == 0 else i % 7 - 3) for i in range(400)]
+    data += [(400, -0.0, 1), (401, 1e9, 2)]
+    df = spark.createDataFrame(data, "id int, k double, v int").repartition(7)
+    reference = spark.createDataFrame([(0,), (3,), (None,)], "known bigint")
+    rules = [*keyed_rules(), q.ReferenceRule("known", "Major", "k", reference, "known"), q.CompletenessRule("complete", "Minor", 95.0)]
+    found = {r["rule"]: r for r in q.run_rules(df, rules, "id").collect()}
+    ks, kvs = [k for _, k, _ in data], [(k, v) for _, k, v in data]
+    broken = {
+        "positive": [i for i, _, v in data if v is not None and v <= 0],
+        "one column": [i for i, k, _ in data if ks.count(k) > 1],
+        "two columns": [i for i, k, v in data if kvs.count((k, v)) > 1],
+        "known": [i for i, k, _ in data if k not in (0.0, 3.0)],
+    }
+    for rule, ids in broken.items():
+        row = found[rule]
+        assert (row["violations"], row["checked"]) == (len(ids), len(data)), rule
+        assert row["sample_ids"] == ", ".join(map(str, ids[:10])) + (" …" if len(ids) > 10 else ""), rule
+    assert (found["complete"]["violations"], found["complete"]["checked"]) == (1, 3)
+
+
+def test_rules_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id int, k double, v int")
+    rules = [*keyed_rules(), q.CompletenessRule("complete", "Minor", 95.0)]
+    found = [(r["violations"], r["checked"], r["status"], r["sample_ids"]) for r in q.run_rules(df, rules, "id").collect()]
+    assert found == [(0, 0, "PASS", "")] * 3 + [(0, 3, "PASS", "")]
+
+
+def test_samples_read_the_table_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 40 as k", "id - 3 as v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = q.run_rules(df, keyed_rules(), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") == 1

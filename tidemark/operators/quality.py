@@ -1,8 +1,9 @@
-"""Data-quality rules as data, evaluated over a whole table in few scans.
+"""Data-quality rules as data, evaluated over a whole table in two scans.
 
-Row rules are boolean columns: all of them are counted in one aggregate and their sample records are
-found in one pass. Uniqueness and reference rules need a shuffle by their key; both are written so that
-a key holding a large part of the table is cut down where it is read.
+The first scan turns every row into pairs of a rule and a key: the keys of uniqueness and reference rules, the row
+rules that it breaks, its empty columns. One aggregate with map-side combining counts the pairs of all rules, so a key
+holding a large part of the table is one row of each map task. What breaks a rule is written; the second scan looks up
+its first records.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions import POSITION, count_where, holds
+from tidemark.functions import POSITION, holds
+from tidemark.sources.checkpoints import store
 
 SEVERITY_WEIGHTS = {"Critical": 3, "Major": 2, "Minor": 1}
 GRADES = ((90, "A"), (75, "B"), (60, "C"))
@@ -84,88 +87,131 @@ def not_in(column: str, allowed: Sequence[object]) -> Column:
 # -- evaluation --------------------------------------------------------------------------------------
 
 
-def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(position, violations, checked) per rule."""
-    parts = []
-    # Row and completeness rules share one scan.
-    aggregates, scanned = [F.count(F.lit(1)).alias("n")], []
-    for i, rule in enumerate(rules):
-        if isinstance(rule, RowRule):
-            aggregates.append(count_where(rule.violation).alias(f"v{i}"))
-            violations, checked = F.col(f"v{i}"), F.col("n")
-        elif isinstance(rule, CompletenessRule):
-            columns = list(rule.columns or [c for c in df.columns if c != POSITION])
-            aggregates += [F.count(F.col(f"`{c}`")).alias(f"f{i}_{k}") for k, c in enumerate(columns)]
-            violations = F.lit(0).cast("bigint")
-            for k in range(len(columns)):
-                low = holds(F.try_divide(F.col(f"f{i}_{k}").cast("double"), F.col("n").cast("double")) * 100 < rule.min_pct)
-                violations = violations + low.cast("bigint")
-            checked = F.lit(len(columns)).cast("bigint")
-        else:
-            continue
-        scanned.append(F.struct(F.lit(i).alias("position"), violations.alias("violations"), checked.alias("checked")))
-    if scanned:
-        parts.append(df.agg(*aggregates).select(F.inline(F.array(*scanned))))
+# The pair of every row, which counts the table.
+ALL = -1
+
+
+def _key_text(c: Column, kind: T.DataType) -> Column:
+    """A text that is equal for equal values of a type, and for these only."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # an hour may come twice in local time
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(c, {"ignoreNullFields": "false"})
+    return c.cast("string")
+
+
+def _key(df: DataFrame, rule: UniqueRule | ReferenceRule) -> Column:
+    """The key of a row under a rule as one text; NULL where a key of one column is NULL."""
+    if isinstance(rule, ReferenceRule):
+        kind = _common_type(df, rule)
+        return _key_text(F.col(f"`{rule.key}`").cast(kind), kind)
+    kinds = dict(zip(df.columns, (f.dataType for f in df.schema.fields)))
+    texts = [_key_text(F.col(f"`{k}`"), kinds[k]) for k in rule.keys]
+    return texts[0] if len(texts) == 1 else F.to_json(F.array(*texts))
+
+
+def _common_type(df: DataFrame, rule: ReferenceRule) -> T.DataType:
+    """The type in which keys and reference keys are compared."""
+    both = df.select(F.col(f"`{rule.key}`")).union(rule.reference.select(F.col(f"`{rule.reference_key}`")))
+    return both.schema.fields[0].dataType
+
+
+def _pair(position: int, key: Column | None = None) -> Column:
+    text = F.lit(None) if key is None else key
+    return F.struct(F.lit(position).alias("position"), text.cast("string").alias("key"))
+
+
+def _checked_columns(df: DataFrame, rule: CompletenessRule) -> list[str]:
+    return list(rule.columns or [c for c in df.columns if c != POSITION])
+
+
+def _keyed(rules: Sequence[Rule]) -> list[tuple[int, UniqueRule | ReferenceRule]]:
+    return [(i, r) for i, r in enumerate(rules) if isinstance(r, (UniqueRule, ReferenceRule))]
+
+
+def _row_pairs(rules: Sequence[Rule]) -> list[Column]:
+    return [F.when(holds(r.violation), _pair(i)) for i, r in enumerate(rules) if isinstance(r, RowRule)]
+
+
+def _broken(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(position, key, n): rows for each rule and key that break it, empty values of each column; with a row for ``ALL``.
+
+    Stored, because counts and samples both read it.
+    """
+    pairs = [_pair(ALL), *_row_pairs(rules)]
     for i, rule in enumerate(rules):
-        if isinstance(rule, UniqueRule):
-            keys = df.groupBy(*[F.col(f"`{k}`") for k in rule.keys]).agg(F.count(F.lit(1)).alias("n"))
-            part = keys.agg(
-                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("violations"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-            )
-        elif isinstance(rule, ReferenceRule):
-            rows_per_key = df.groupBy(F.col(f"`{rule.key}`").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-            known = rule.reference.select(F.col(f"`{rule.reference_key}`").alias("k")).distinct().withColumn("known", F.lit(True))
-            part = rows_per_key.join(known, "k", "left").agg(
-                F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("violations"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
+        if isinstance(rule, CompletenessRule):
+            pairs += [F.when(F.col(f"`{c}`").isNull(), _pair(i, F.lit(str(k)))) for k, c in enumerate(_checked_columns(df, rule))]
+    pairs += [_pair(i, _key(df, rule)) for i, rule in _keyed(rules)]
+    counted = df.select(F.inline(F.array(*pairs))).filter("position is not null").select(
+        "position", "key", F.lit(1).cast("bigint").alias("n"), F.lit(0).alias("known")
+    )
+    for i, rule in _keyed(rules):
+        if isinstance(rule, ReferenceRule):
+            kind = _common_type(df, rule)
+            known = rule.reference.select(F.col(f"`{rule.reference_key}`").cast(kind).alias("k")).filter("k is not null")
+            counted = counted.union(
+                known.select(F.lit(i), _key_text(F.col("k"), kind), F.lit(0).cast("bigint"), F.lit(1))
             )
-        else:
-            continue
-        parts.append(part.select(F.lit(i).alias("position"), "violations", "checked"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    keys = counted.groupBy("position", "key").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    unique = [i for i, r in _keyed(rules) if isinstance(r, UniqueRule)]
+    found = (F.col("n") > 0) & (F.col("known") == 0) & ((F.col("n") > 1) | ~F.col("position").isin(unique))
+    return store(keys.filter(found).select("position", "key", "n"), "broken-rules")
+
+
+def _counts(df: DataFrame, rules: Sequence[Rule], broken: DataFrame) -> DataFrame:
+    """(position, violations, checked) per rule."""
+    # One row per rule, and one per column of a completeness rule, is all that is left here.
+    everything = broken.filter(F.col("position") == ALL).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
+    catalogue, complete = [], F.lit(None).cast("double")
+    for i, rule in enumerate(rules):
+        columns = len(_checked_columns(df, rule)) if isinstance(rule, CompletenessRule) else None
+        catalogue.append(F.struct(F.lit(i).alias("position"), F.lit(columns).cast("bigint").alias("columns")))
+        if columns is not None:
+            complete = F.when(F.col("position") == i, F.lit(float(rule.min_pct))).otherwise(complete)
+    least, rows = F.col("least"), F.col("rows")
+    filled = F.try_divide((rows - F.col("n")).cast("double"), rows.cast("double")) * 100
+    per_rule = (
+        broken.withColumn("least", complete)
+        .withColumn("rows", everything)
+        .groupBy("position")
+        .agg(F.sum(F.when(least.isNull(), F.col("n")).otherwise(holds(filled < least).cast("bigint"))).alias("violations"))
+    )
+    listed = df.sparkSession.range(1).select(F.inline(F.array(*catalogue)))
+    return listed.join(F.broadcast(per_rule), "position", "left").select(
+        "position",
+        F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"),
+        F.coalesce("columns", everything).alias("checked"),
+    )
 
 
-def _samples(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str]) -> DataFrame:
+def _samples(
+    df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str], broken: DataFrame
+) -> DataFrame:
     """(position, record, sample_no) of the first ``SAMPLE`` violating rows per rule, in row order.
 
-    ``row_number() <= SAMPLE`` makes Spark keep at most that many rows per rule in every map task.
+    ``row_number() <= SAMPLE`` makes Spark keep at most that many rows per rule in every map task. Rows meet the broken
+    keys by a join whose way follows the size of the stored table; without keys that break a rule nothing is shuffled.
     """
     place = [F.col(f"`{c}`").alias(f"place{n}") for n, c in enumerate([*order_by, record])]
     places = [f"place{n}" for n in range(len(place))]
     identity = F.col(f"`{record}`").cast("string").alias("record")
-    parts = []
-    row_rules = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule)]
-    if row_rules:
-        broken = F.array_compact(F.array(*[F.when(holds(r.violation), F.lit(i)) for i, r in row_rules]))
-        parts.append(
-            df.select(F.explode(broken).alias("position"), identity, *place)
-        )
-    for i, rule in enumerate(rules):
-        position = F.lit(i).alias("position")
-        if isinstance(rule, UniqueRule):
-            keys = [F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(rule.keys)]
-            names = [f"k{n}" for n in range(len(keys))]
-            # The first rows of a table that break the rule are among the first rows of some key.
-            first = (
-                df.select(*keys, identity, *place)
-                .withColumn("r", F.row_number().over(Window.partitionBy(*names).orderBy(*places)))
-                .filter(F.col("r") <= SAMPLE)
-            )
-            repeated = first.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*names))).filter(F.col("n") > 1)
-            parts.append(repeated.select(position, "record", *places))
-        elif isinstance(rule, ReferenceRule):
-            known = rule.reference.select(F.col(f"`{rule.reference_key}`").alias("k"))
-            unknown = df.select(F.col(f"`{rule.key}`").alias("k"), identity, *place).join(known, "k", "left_anti")
-            parts.append(unknown.select(position, "record", *places))
-    if not parts:
+    keyed = _keyed(rules)
+    pairs = _row_pairs(rules) + [_pair(i, _key(df, rule)) for i, rule in keyed]
+    if not pairs:
         return df.sparkSession.createDataFrame([], "position int, record string, sample_no int")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = df.select(F.inline(F.array(*pairs)), identity, *place).filter("position is not null")
+    if keyed:
+        numbers = [i for i, _ in keyed]
+        keys = broken.filter(F.col("position").isin(numbers)).select(
+            F.col("position").alias("at"), F.col("key").alias("of"), F.lit(True).alias("breaks")
+        )
+        same = (F.col("position") == F.col("at")) & F.col("key").eqNullSafe(F.col("of"))
+        out = out.join(keys, same, "left").filter(F.col("breaks") | ~F.col("position").isin(numbers))
     number = F.row_number().over(Window.partitionBy("position").orderBy(*places))
     return out.withColumn("sample_no", number).filter(F.col("sample_no") <= SAMPLE).select("position", "record", "sample_no")
 
@@ -174,18 +220,20 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Seque
     """The rule report: rule, severity, status, violations, checked, sample_ids.
 
     ``sample_ids`` lists the first ten violating records in ``order_by`` order (default: the order of the file if
-    the rows carry their position, else record order), followed by an ellipsis when there are more.
+    the rows carry their position, else record order), followed by an ellipsis when there are more. A NULL key is a key
+    like others under a uniqueness rule and unknown under a reference rule. The first scan runs at once.
     """
     names = [F.struct(F.lit(i).alias("position"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)]
     catalogue = df.sparkSession.range(1).select(F.inline(F.array(*names)))
     ids = F.transform(F.array_sort(F.collect_list(F.struct("sample_no", "record"))), lambda s: s["record"])
     order = order_by or [POSITION if POSITION in df.columns else record]
-    samples = _samples(df, rules, record, order).groupBy("position").agg(
+    broken = _broken(df, rules)
+    samples = _samples(df, rules, record, order, broken).groupBy("position").agg(
         F.array_join(ids, ", ", "").alias("sample_ids")
     )
     # Both sides hold one row per rule.
     return (
-        catalogue.join(F.broadcast(_counts(df, rules)), "position", "left")
+        catalogue.join(F.broadcast(_counts(df, rules, broken)), "position", "left")
         .join(F.broadcast(samples), "position", "left")
         .select(
             "rule",
