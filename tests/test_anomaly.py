@@ -49,7 +49,7 @@ def test_constant_column(spark):
     assert rows(a.risk_score(df, [a.RangeShare("v", 40), a.MagnitudeShare("v", 10)])) == [(5.0, 10.0), (5.0, 10.0)]
 
 
-@pytest.mark.parametrize("method", ["inline", "bracket"])
+@pytest.mark.parametrize("method", ["inline", "radix"])
 def test_percentile_flag(table, amounts, method):
     flagged = column(a.flag_percentile(table, top_pct=95, method=method), "iqr_flag")
     assert (flagged == (amounts > np.percentile(amounts, 95))).all()
@@ -62,7 +62,7 @@ def test_missing_amounts_count_as_zero(spark):
     assert dict(rows(a.flag_zscore(df, "v", 1.5))) == {None: False, 1.0: False, 2.0: False, 50.0: True}
 
 
-@pytest.mark.parametrize("method", ["inline", "bracket"])
+@pytest.mark.parametrize("method", ["inline", "radix"])
 def test_fences(table, amounts, method):
     q1, q3 = np.quantile(amounts, [0.25, 0.75])
     low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)

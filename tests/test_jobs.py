@@ -90,7 +90,7 @@ def test_fraud_job(cards):
 
 def test_both_quantile_ways_flag_the_same(cards):
     clean = fraud.clean(cards)
-    flagged = [rows(fraud.score(clean, m).filter("flagged").select("Amount", "V1", "iqr_flag")) for m in ("inline", "bracket")]
+    flagged = [rows(fraud.score(clean, m).filter("flagged").select("Amount", "V1", "iqr_flag")) for m in ("inline", "radix")]
     assert flagged[0] == flagged[1]
 
 

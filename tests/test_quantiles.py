@@ -7,14 +7,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import statistics
-from tidemark.operators.quantiles import estimated_bytes, quantiles
+from tidemark.operators.quantiles import estimated_bytes, quantiles, with_order_key
 
 FRACTIONS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
 
 
 def both(df, value, fractions, by=(), **options):
     out = []
-    for method in ("inline", "bracket"):
+    for method in ("inline", "radix"):
         table = quantiles(df, value, fractions, by=by, method=method, **options)
         out.append(sorted(tuple(r) for r in table.collect()))
     return out
@@ -24,16 +24,16 @@ def both(df, value, fractions, by=(), **options):
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False).map(lambda v: round(v, 2)), min_size=1, max_size=40))
 def test_any_values_agree_with_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = quantiles(df, "v", FRACTIONS, method="bracket").first()
+    row = quantiles(df, "v", FRACTIONS, method="radix").first()
     assert list(row) == pytest.approx(list(np.quantile(values, FRACTIONS)), abs=1e-6)
 
 
 def test_groups_with_ties_nulls_and_single_rows(spark):
     data = [(1, 1.0), (1, 2.0), (1, 4.0), (1, 8.0), (2, 5.0), (3, 1.0), (3, 1.0), (3, 9.0), (4, None), (None, 3.0)]
     df = spark.createDataFrame(data, "g int, v double")
-    inline, bracket = both(df, "v", FRACTIONS, by=["g"])
-    assert inline == bracket
-    assert [r[0] for r in bracket] == [1, 2, 3]
+    inline, radix = both(df, "v", FRACTIONS, by=["g"])
+    assert inline == radix
+    assert [r[0] for r in radix] == [1, 2, 3]
 
 
 @pytest.mark.parametrize("bounded", [True, False])
@@ -43,38 +43,57 @@ def test_skewed_groups_and_heavy_ties(spark, bounded):
         F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 7).alias("g"),
         F.when(F.col("id") % 2 == 0, 5.0).otherwise((F.col("id") * 7919 % 10_007).cast("double")).alias("v"),
     )
-    inline, bracket = both(df, "v", FRACTIONS, by=["g"], accuracy=200, bins=16, bounded_groups=bounded)
-    assert inline == bracket
+    inline, radix = both(df, "v", FRACTIONS, by=["g"], bounded_groups=bounded)
+    assert inline == radix
 
 
 def test_hot_group_over_many_tasks(spark):
-    # Approximate brackets differ from one evaluation to the next here; the result must not.
     df = spark.range(0, 400_000, 1, 16).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("g"),
         (F.xxhash64("id") % 1_000_003).cast("double").alias("v"),
     )
     for bounded in (True, False):
-        inline, bracket = both(df, "v", [0.5, 0.99], by=["g"], accuracy=1000, bounded_groups=bounded)
-        assert inline == bracket
+        inline, radix = both(df, "v", [0.5, 0.99], by=["g"], bounded_groups=bounded)
+        assert inline == radix
 
 
-def test_coarse_brackets_stay_exact(spark):
+def test_values_of_many_sizes(spark):
     df = spark.range(50_000).select(F.exp(F.rand(7) * 20).alias("v"))
     values = [r["v"] for r in df.collect()]
-    row = quantiles(df, "v", FRACTIONS, method="bracket", accuracy=100, bins=8).first()
+    row = quantiles(df, "v", FRACTIONS, method="radix").first()
     assert list(row) == pytest.approx(list(np.quantile(values, FRACTIONS)), rel=1e-12)
 
 
+def test_keys_are_the_bits_of_the_values(spark):
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"),
+              float("-inf"), 1.0, np.nextafter(1.0, 0), np.nextafter(1.0, 2), 8.0, np.nextafter(8.0, 0), -3.7, 0.1]
+    values += [float(v) for v in np.random.default_rng(3).integers(0, 2**63, 2000, dtype="u8").view("f8") if np.isfinite(v)]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for v, k in with_order_key(df, "v", "k").collect():
+        bits = int(np.array(abs(v)).view("i8"))
+        assert k == (-bits if v < 0 else bits)
+    assert with_order_key(spark.createDataFrame([(float("nan"),)], "v double"), "v", "k").first()["k"] == 2**63 - 1
+
+
+def test_neighbouring_doubles_and_one_value(spark):
+    base = [1.0 + k * 2.0**-52 for k in range(500)]
+    df = spark.createDataFrame([(v,) for v in base + [-v for v in base]], "v double").repartition(5)
+    row = quantiles(df, "v", [0.1, 0.25, 0.75], method="radix").first()
+    assert list(row) == list(quantiles(df, "v", [0.1, 0.25, 0.75], method="inline").first())
+    same = spark.range(1000).select(F.lit(-7.5).alias("v"))
+    assert set(quantiles(same, "v", FRACTIONS, method="radix").first()) == {-7.5}
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "v double")
     assert quantiles(df, "v", [0.5], method="inline").first()[0] is None
-    assert quantiles(df, "v", [0.5], method="bracket").first()[0] is None
+    assert quantiles(df, "v", [0.5], method="radix").first()[0] is None
 
 
 def test_repartitioning_changes_nothing(spark):
     df = spark.range(5_000).select((F.col("id") * 37 % 1_000).cast("double").alias("v"))
-    want = quantiles(df, "v", FRACTIONS, method="bracket").first()
-    assert quantiles(df.repartition(13), "v", FRACTIONS, method="bracket").first() == want
+    want = quantiles(df, "v", FRACTIONS, method="radix").first()
+    assert quantiles(df.repartition(13), "v", FRACTIONS, method="radix").first() == want
 
 
 def test_unknown_method(spark):
@@ -89,8 +108,8 @@ def test_size_estimate_grows(spark):
 def test_describe_both_ways(spark):
     df = spark.createDataFrame([(1, 2.0, None), (2, None, None), (3, 8.0, None), (4, 1.0, None)], "a int, b double, c double")
     inline = {r["column"]: tuple(r) for r in statistics.describe(df, method="inline").collect()}
-    bracket = {r["column"]: tuple(r) for r in statistics.describe(df, method="bracket").collect()}
-    assert inline == bracket
+    radix = {r["column"]: tuple(r) for r in statistics.describe(df, method="radix").collect()}
+    assert inline == radix
     assert inline["a"][1:] == (4, 2.5, pytest.approx(np.std([1, 2, 3, 4], ddof=1)), 1.0, 1.75, 2.5, 3.25, 4.0)
     assert inline["c"][1:] == (0, None, None, None, None, None, None, None)
 
@@ -98,7 +117,7 @@ def test_describe_both_ways(spark):
 def test_box_plot_by_hand(spark):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for method in ("inline", "bracket"):
+    for method in ("inline", "radix"):
         box = statistics.box_plot(df, "v", method=method).first()
         assert (box["q1"], box["median"], box["q3"]) == (2.25, 3.5, 4.75)
         assert (box["whisker_low"], box["whisker_high"], box["fliers"]) == (1.0, 5.0, 1)

@@ -186,7 +186,7 @@ def test_kpis_by_hand(spark):
     data = [("Jan-2017", "A", 1, 10.0, 1, 0, 2), ("Jan-2017", "A", 0, 20.0, 2, 1, -1), ("Jan-2017", None, 1, 30.0, 3, 1, 5), ("Feb-2017", "B", 0, 7.0, 1, 0, 0), (None, "B", 1, 1.0, 1, 1, 1)]
     df = spark.createDataFrame(data, "`Month-Year` string, `Department Name` string, on_time int, Sales double, Quantity int, Late_delivery_risk int, delay_days int").withColumn("Profit", F.col("Sales") / 10)
     assert rows(kpi.on_time(df)) == [("Feb-2017", "B", 0, 1, 0.0), ("Jan-2017", "A", 1, 2, 50.0)]
-    for method in ("inline", "bracket"):
+    for method in ("inline", "radix"):
         assert rows(kpi.average_sales(df, method=method)) == [("Feb-2017", 7.0, 7.0, None), ("Jan-2017", 20.0, 20.0, 10.0)]
     assert rows(kpi.revenue(df)) == [("Feb-2017", 7.0, 1), ("Jan-2017", 60.0, 6)]
     assert rows(kpi.late_risk(df)) == [("Feb-2017", 0.0), ("Jan-2017", 66.67)]

@@ -40,7 +40,7 @@ def average_sales(
     groups = _known(df, period).groupBy(period)
     moments = [F.avg(sales).alias("avg"), F.stddev_samp(sales).alias("std")]
     if method == "auto":
-        method = "inline" if is_small(df.select(period, sales)) else "bracket"
+        method = "inline" if is_small(df.select(period, sales)) else "radix"
     if method == "inline":
         table = groups.agg(*moments, F.percentile(sales, F.lit(0.5)).alias("median"))
     else:

@@ -106,7 +106,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str =
     columns = list(columns or numeric_columns(df))
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
     if method == "auto":
-        method = "inline" if is_small(values) else "bracket"
+        method = "inline" if is_small(values) else "radix"
     if method == "inline":
         # Small inputs often come as one file and so one task, too few for several quantile maps. The
         # input size is checked above, so this shuffle is a small one.

@@ -80,7 +80,7 @@ def medians(df: DataFrame, columns: tuple[str, ...] = ("trip_duration_min", "tri
     """Median per column as rows (column, median)."""
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if method == "auto":
-        method = "inline" if is_small(values) else "bracket"
+        method = "inline" if is_small(values) else "radix"
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns]
     long = values.select(F.inline(F.array(*pairs)))
     return quantiles(long, "v", [0.5], by=["column"], names=["median"], method=method, bounded_groups=True)

@@ -90,7 +90,7 @@ def profile_describe(spark, folder):
 
 def profile_describe_large(spark, folder):
     """The same profile by the way that holds for any input size."""
-    return rounded(statistics.describe(sparse_lineitem(spark, folder), method="bracket"), 3)
+    return rounded(statistics.describe(sparse_lineitem(spark, folder), method="radix"), 3)
 
 
 def table_shape(spark, folder):

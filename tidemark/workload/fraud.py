@@ -110,7 +110,7 @@ def price_quantiles(spark, folder):
     """The quantile operator on line prices by its exact way for large inputs."""
     li = read_table(spark, folder, "lineitem")
     fractions = [0.01, 0.25, 0.5, 0.75, 0.99]
-    q = scalar_quantiles(li, "l_extendedprice", fractions, method="bracket")
+    q = scalar_quantiles(li, "l_extendedprice", fractions, method="radix")
     out = li.agg(F.count(F.lit(1)).alias("rows")).withColumn("q", q)
     return rounded(out.select("rows", *[F.col("q")[i].alias(f"p{int(f * 100):02d}") for i, f in enumerate(fractions)]))
 
