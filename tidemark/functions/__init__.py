@@ -13,6 +13,7 @@ from tidemark.functions.parsing import (
     NULL_TOKENS,
     POSITION,
     blank_to_null,
+    date_class,
     is_iso_date,
     iso_date,
     parse_amount,
@@ -43,6 +44,7 @@ __all__ = [
     "blank_to_null",
     "clip",
     "count_where",
+    "date_class",
     "delay_days",
     "duration_minutes",
     "finite",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -103,6 +104,21 @@ def date_shape(fmt: str) -> str | None:
     return f"^{shape}$"
 
 
+def date_class(c: Column, formats: Sequence[str]) -> Column:
+    """One text for many: each of the formats reads it if and only if it reads ``c``. NULL is read by none.
+
+    Texts of no format's shape become NULL; minutes and seconds, which are valid whatever the rest says, become zero
+    where a colon stands before them. So a table has few classes, however many rows, if its texts are days or times.
+    Formats with fields of unknown shape keep every text as it is.
+    """
+    shapes = [date_shape(f) for f in formats]
+    if None in shapes:
+        return c
+    behind_colon = {m for f in formats for m in re.findall(":(.)", f)}
+    small = F.regexp_replace(c, ":[0-5][0-9](?![0-9])", ":00") if behind_colon and behind_colon <= {"m", "s"} else c
+    return F.when(c.rlike("|".join(shapes)), small)
+
+
 def _parsed(c: Column, fmt: str) -> Column:
     """Timestamp or NULL. Texts of the wrong shape skip the parser, whose failures are exceptions and slow."""
     shape = date_shape(fmt)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import POSITION, count_where, holds, parse_timestamp, strip
+from tidemark.functions import POSITION, count_where, date_class, holds, parse_timestamp, strip
 from tidemark.operators.statistics import melt, scalar_quantiles
 
 
@@ -38,6 +38,18 @@ def missing_columns(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [c for c in wanted if c not in df.columns]
 
 
+def column_report(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """One row for each wanted column in the wanted order: its type, whether the table has it, rows with a value (one scan)."""
+    kinds = dict(df.dtypes)
+    wide = df.agg(
+        *[F.lit(i).alias(f"position_{i}") for i in range(len(wanted))],
+        *[F.lit(kinds.get(c)).cast("string").alias(f"type_{i}") for i, c in enumerate(wanted)],
+        *[F.lit(c in kinds).alias(f"present_{i}") for i, c in enumerate(wanted)],
+        *[F.count(F.col(f"`{c}`") if c in kinds else F.lit(None)).alias(f"filled_{i}") for i, c in enumerate(wanted)],
+    )
+    return melt(wide, wanted, ["position", "type", "present", "filled"])
+
+
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
@@ -112,12 +124,27 @@ def keep_within(df: DataFrame, limits: Mapping[str, tuple[float, float]]) -> Dat
 # -- parsing with counted failures -------------------------------------------------------------------
 
 
+def _date_classes(df: DataFrame, columns: Sequence[str], formats: Sequence[str]) -> DataFrame:
+    """The dictionary of texts: number ``k`` of the column, class of texts, rows; merged within each map task."""
+    entries = [
+        F.struct(F.lit(k).alias("k"), date_class(F.col(f"`{c}`"), formats).alias("text")) for k, c in enumerate(columns)
+    ]
+    return df.select(F.inline(F.array(*entries))).groupBy("k", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unread(fmt: str) -> Column:
+    """Rows of the dictionary's texts that a format cannot read."""
+    return F.coalesce(F.sum(F.when(parse_timestamp(F.col("text"), fmt).isNull(), F.col("n"))), F.lit(0))
+
+
 def format_failures(df: DataFrame, column: str, formats: Sequence[str]) -> DataFrame:
-    """Per candidate date format: number and share of texts of ``column`` it cannot parse."""
-    c = F.col(f"`{column}`")
-    wide = df.agg(
-        *[F.count(F.lit(1)).alias(f"rows_{i}") for i in range(len(formats))],
-        *[F.count_if(parse_timestamp(c, f).isNull()).alias(f"failures_{i}") for i, f in enumerate(formats)],
+    """Per candidate date format: number and share of texts of ``column`` it cannot parse.
+
+    Every class of texts is tried once, not every row.
+    """
+    wide = _date_classes(df, [column], formats).agg(
+        *[F.coalesce(F.sum("n"), F.lit(0)).alias(f"rows_{i}") for i in range(len(formats))],
+        *[_unread(f).alias(f"failures_{i}") for i, f in enumerate(formats)],
     )
     return melt(wide, formats, ["rows", "failures"]).withColumnRenamed("column", "format").withColumn(
         "failure_pct", F.try_divide(F.col("failures").cast("double"), F.col("rows").cast("double")) * 100
@@ -127,22 +154,19 @@ def format_failures(df: DataFrame, column: str, formats: Sequence[str]) -> DataF
 def parse_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str], max_failure: float = 0.10) -> DataFrame:
     """Parse each text column with the first format that fails on less than ``max_failure`` of all rows.
 
-    If none does, the format with the fewest failures is taken. Every format is tried on the raw text,
-    and texts the chosen format cannot read become NULL. The choice is a one-row aggregate over all
-    columns and formats inside the plan.
+    If none does, the format with the fewest failures is taken. Every format is tried on the raw text, and texts the
+    chosen format cannot read become NULL. Formats are tried on the classes of texts of all columns, counted in one
+    scan; the choice is one row inside the plan, and each row is parsed once, with the format chosen.
     """
-    counts = [F.count(F.lit(1)).alias("rows")]
-    for k, column in enumerate(columns):
-        tries = [F.count_if(parse_timestamp(F.col(f"`{column}`"), fmt).isNull()) for fmt in formats]
-        counts.append(F.array(*tries).alias(f"failures_{k}"))
-    choices = []
-    for k in range(len(columns)):
-        failures = F.col(f"failures_{k}")
-        passed = F.transform(failures, lambda f: f < F.col("rows") * F.lit(max_failure))
-        first_good = F.array_position(passed, True)
-        fewest = F.array_position(failures, F.array_min(failures))
-        choices.append(F.when(first_good > 0, first_good).otherwise(fewest).cast("int"))
-    chosen = df.agg(*counts).select(F.array(*choices).alias("c")).scalar()
+    tried = _date_classes(df, columns, formats).groupBy("k").agg(
+        F.sum("n").alias("rows"), F.array(*[_unread(f) for f in formats]).alias("failures")
+    )
+    passed = F.transform("failures", lambda f: f < F.col("rows") * F.lit(max_failure))
+    first_good = F.array_position(passed, True)
+    fewest = F.array_position("failures", F.array_min("failures"))
+    choice = F.when(first_good > 0, first_good).otherwise(fewest).cast("int")
+    # One entry a column.
+    chosen = tried.select("k", choice.alias("c")).agg(F.map_from_entries(F.collect_list(F.struct("k", "c")))).scalar()
     parsed = {}
     for k, column in enumerate(columns):
         value = None

@@ -14,9 +14,12 @@ from tidemark.functions import (
     parse_amount,
     quarter_label,
     safe_ratio,
+    show_count,
+    show_percent,
     strip,
 )
-from tidemark.operators import cleaning, statistics
+from tidemark.operators import cleaning, profiles, statistics
+from tidemark.plans import supply
 from tidemark.sources import read_delimited, write_delimited
 from tidemark.sources.checkpoints import fresh_path
 from tidemark.workload import tables as t
@@ -101,6 +104,64 @@ def distinct_counts(spark, folder):
     return statistics.distinct_counts(read_table(spark, folder, "lineitem"), ["l_returnflag", "l_suppkey", "l_partkey", "l_shipdate"])
 
 
+PROFILED = ("l_partkey", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag", "l_shipdate")
+
+
+def monthly_parts(spark, folder):
+    """Profiles of every month of order lines, written to the shared folder and read back."""
+    months = sparse_lineitem(spark, folder).withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    path = fresh_path(spark, "profiles")
+    profiles.keep_profiles(profiles.partial_profiles(months, PROFILED, ["month"]), path, ["month"])
+    return profiles.kept_profiles(spark, path, "month string")
+
+
+def merged_profile(spark, folder):
+    """The profile of all months from those of each, its estimates beside exact counts."""
+    merged = profiles.read_profiles(profiles.merge_profiles(monthly_parts(spark, folder)))
+    exact = statistics.distinct_counts(read_table(spark, folder, "lineitem"), ["l_partkey", "l_quantity", "l_returnflag", "l_shipdate"])
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= F.col("distinct_values") * F.lit(4 * profiles.ERROR)
+    both = merged.join(exact, "column").withColumn("near", near)
+    return rounded(both.drop("distinct_estimate"), 3)
+
+
+def yearly_profile(spark, folder):
+    """The profiles of every year from those of its months."""
+    parts = monthly_parts(spark, folder).withColumn("year", F.substring("month", 1, 4).cast("int"))
+    return rounded(profiles.read_profiles(profiles.merge_profiles(parts, ["year"])).drop("distinct_estimate"), 3)
+
+
+def key_columns(spark, folder):
+    return cleaning.column_report(t.supply_orders(spark, folder), supply.KEY_COLUMNS)
+
+
+def preview_lines(spark, folder):
+    """The first lines by price, the dearest first."""
+    lines = read_table(spark, folder, "lineitem").drop("l_shipdate")
+    return statistics.preview(lines, 5, [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")])
+
+
+def shown_shares(spark, folder):
+    """Rows and shares of the return flags as a report prints them."""
+    shares = statistics.value_shares(read_table(spark, folder, "lineitem"), "l_returnflag")
+    return shares.select("l_returnflag", show_count(F.col("rows")).alias("rows"), show_percent(F.col("pct"), 1).alias("share"))
+
+
+def mixed_times(spark, folder):
+    """Ship times as text, some of them in another format and some unreadable."""
+    li = read_table(spark, folder, "lineitem")
+    moment = F.timestamp_add("SECOND", F.col("l_partkey") * 61, F.col("l_shipdate"))
+    text = (
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a"))
+        .when(F.col("l_linenumber") == 6, F.date_format(moment, "yyyy-MM-dd"))
+        .otherwise(F.date_format(moment, "M/d/yyyy H:mm"))
+    )
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", text.alias("shipped"))
+
+
+def time_format_failures(spark, folder):
+    return rounded(cleaning.format_failures(mixed_times(spark, folder), "shipped", supply.DATE_FORMATS))
+
+
 def price_summary(spark, folder):
     return rounded(statistics.summary_values(read_table(spark, folder, "events"), "value", [0.5, 0.99]))
 
@@ -208,7 +269,67 @@ PROFILE = " union all ".join(
     for c in LINE_COLUMNS[:8]
 )
 
+DISTINCT_PROFILED = ("l_partkey", "l_quantity", "l_returnflag", "l_shipdate")
+
+
+def sql_profile(column: str, keys: str = "", more: str = "") -> str:
+    """Profile of one column; a column that is no number has neither moments nor limits."""
+    number = f"{column}::double" if column not in ("l_returnflag", "l_shipdate") else "null::double"
+    return f"""select {keys} '{column}' as "column", count(*) as "rows", count(*) - count({column}) as nulls,
+                      round(count({column}) / count(*)::double * 100, 3) as complete_pct, round(avg({number}), 3) as mean,
+                      round(stddev_samp({number}), 3) as std, round(min({number}), 3) as "min", round(max({number}), 3) as "max"{more}
+               from ({SPARSE}) group by all"""
+
+
 QUERIES: dict[str, Query] = {
+    "merged_profile": Query(
+        merged_profile,
+        " union all ".join(sql_profile(c, more=f", count(distinct {c}) as distinct_values, true as near") for c in DISTINCT_PROFILED),
+    ),
+    "yearly_profile": Query(
+        yearly_profile, " union all ".join(sql_profile(c, 'year(l_shipdate)::int as "year",') for c in PROFILED)
+    ),
+    "key_columns": Query(
+        key_columns,
+        " union all ".join(
+            f"""select {i}::int as "position", '{c}' as "column", {f"'{kind}'" if kind else "null::varchar"} as "type",
+                       {"true" if kind else "false"} as present, {f"count({value})" if kind else "count(null)"} as filled
+                from lineitem join orders on l_orderkey = o_orderkey"""
+            for i, (c, (kind, value)) in enumerate(
+                zip(
+                    supply.KEY_COLUMNS,
+                    [
+                        ("timestamp_ntz", "o_orderdate"),
+                        ("string", "o_orderpriority"),
+                        ("double", "l_extendedprice"),
+                        ("int", "l_quantity"),
+                        ("double", "nullif(l_tax, 0)"),
+                        ("string", "o_orderstatus"),
+                        ("int", "l_returnflag"),
+                        ("int", "l_shipdate"),
+                        ("int", "1"),
+                        *[("", "")] * 4,
+                    ],
+                )
+            )
+        ),
+    ),
+    "preview_lines": Query(
+        preview_lines,
+        """select * exclude (l_shipdate) from lineitem order by l_extendedprice desc, l_orderkey, l_linenumber limit 5""",
+    ),
+    "shown_shares": Query(
+        shown_shares,
+        """select l_returnflag, format('{:,}', n) as "rows", format('{:.1f}%', round(n * 100.0 / sum(n) over (), 2)) as share
+           from (select l_returnflag, count(*) as n from lineitem group by 1)""",
+    ),
+    "time_format_failures": Query(
+        time_format_failures,
+        """select format, count(*) as "rows", count(*) filter (l_linenumber > last or l_linenumber < first) as failures,
+                  round(count(*) filter (l_linenumber > last or l_linenumber < first) / count(*)::double * 100, 4) as failure_pct
+           from lineitem, (values ('M/d/yyyy H:mm', 1, 5), ('yyyy-MM-dd HH:mm:ss', 8, 8), ('yyyy-MM-dd', 6, 6)) f(format, first, last)
+           group by 1""",
+    ),
     "dedup_full": Query(
         dedup_full,
         """select distinct * replace (strftime(l_shipdate, '%Y-%m-%d') as l_shipdate, l_tax + 0.0::double as l_tax,
