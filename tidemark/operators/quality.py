@@ -3,7 +3,7 @@
 The first scan turns every row into pairs of a rule and a key: the keys of uniqueness and reference rules, the row
 rules that it breaks, its empty columns. One aggregate with map-side combining counts the pairs of all rules, so a key
 holding a large part of the table is one row of each map task. What breaks a rule is written; the second scan looks up
-its first records.
+its first records, among the rows up to a limit that one row in ``LIMIT_SHARE`` gave before.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from tidemark.sources.checkpoints import store
 SEVERITY_WEIGHTS = {"Critical": 3, "Major": 2, "Minor": 1}
 GRADES = ((90, "A"), (75, "B"), (60, "C"))
 SAMPLE = 10
+# One row in so many is looked at for where the samples end.
+LIMIT_SHARE = 64
 
 
 @dataclass(frozen=True)
@@ -189,31 +191,75 @@ def _counts(df: DataFrame, rules: Sequence[Rule], broken: DataFrame) -> DataFram
     )
 
 
+def _rows_of_pairs(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str]) -> DataFrame:
+    """(position, key, record, places): the row rules that each row breaks and its keys, with what orders the samples.
+
+    A row rule takes the record for its key, so that no partition of a join gets all rows that break it.
+    """
+    place = [F.col(f"`{c}`").alias(f"place{n}") for n, c in enumerate([*order_by, record])]
+    identity = F.col(f"`{record}`").cast("string")
+    pairs = [F.when(holds(r.violation), _pair(i, identity)) for i, r in enumerate(rules) if isinstance(r, RowRule)]
+    pairs += [_pair(i, _key(df, rule)) for i, rule in _keyed(rules)]
+    return df.select(F.inline(F.array(*pairs)), identity.alias("record"), *place).filter("position is not null")
+
+
+def _places(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c.startswith("place")]
+
+
+def _flagged(rows: DataFrame, keys: DataFrame, flag: str) -> DataFrame:
+    """Rows with a true ``flag`` where their pair is one of the keys, else NULL."""
+    keys = keys.select(F.col("position").alias("at"), F.col("key").alias("of"), F.lit(True).alias(flag))
+    same = (F.col("position") == F.col("at")) & F.col("key").eqNullSafe(F.col("of"))
+    return rows.join(keys, same, "left").drop("at", "of")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("sample_no", F.row_number().over(Window.partitionBy("position").orderBy(*_places(rows))))
+
+
+def _limits(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str], keys: DataFrame) -> DataFrame:
+    """(position, limit): a place that none of the first ``SAMPLE`` violating rows of a rule comes after.
+
+    Of one row in ``LIMIT_SHARE``, by a hash, it is the place of number ``SAMPLE``: that many violating rows stand there or
+    before. It only bounds where the whole table is searched; rules with fewer violating rows among these have no limit.
+    """
+    chosen = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in [*order_by, record]]), F.lit(LIMIT_SHARE)) == 0
+    rows = _flagged(_rows_of_pairs(df.filter(chosen), rules, record, order_by), keys, "breaks")
+    rows = rows.filter(F.col("breaks") | ~F.col("position").isin([i for i, _ in _keyed(rules)]))
+    return _numbered(rows).filter(F.col("sample_no") == SAMPLE).select("position", F.struct(*_places(rows)).alias("limit"))
+
+
 def _samples(
     df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str], broken: DataFrame
 ) -> DataFrame:
     """(position, record, sample_no) of the first ``SAMPLE`` violating rows per rule, in row order.
 
-    ``row_number() <= SAMPLE`` makes Spark keep at most that many rows per rule in every map task. Rows meet the broken
-    keys by a join whose way follows the size of the stored table; without keys that break a rule nothing is shuffled.
+    Rows after the limit of a rule are left out before anything is sorted or shuffled. A rule without limit has few
+    violating rows, so few keys break it: these are stored by themselves, for a join whose way follows their size.
     """
-    place = [F.col(f"`{c}`").alias(f"place{n}") for n, c in enumerate([*order_by, record])]
-    places = [f"place{n}" for n in range(len(place))]
-    identity = F.col(f"`{record}`").cast("string").alias("record")
-    keyed = _keyed(rules)
-    pairs = _row_pairs(rules) + [_pair(i, _key(df, rule)) for i, rule in keyed]
-    if not pairs:
+    keyed = [i for i, _ in _keyed(rules)]
+    if not keyed and not _row_pairs(rules):
         return df.sparkSession.createDataFrame([], "position int, record string, sample_no int")
-    out = df.select(F.inline(F.array(*pairs)), identity, *place).filter("position is not null")
+    keys = broken.filter(F.col("position").isin(keyed)).select("position", "key")
+    rows = _rows_of_pairs(df, rules, record, order_by)
+    limits = _limits(df, rules, record, order_by, keys)
+    # Places that are numbered while reading may differ between scans; they limit nothing.
+    limits = store(limits if _repeatable(df) else limits.limit(0), "sample-limits")
+    rows = rows.join(F.broadcast(limits), "position", "left")
+    rows = rows.filter(F.col("limit").isNull() | (F.struct(*_places(rows)) <= F.col("limit")))
     if keyed:
-        numbers = [i for i, _ in keyed]
-        keys = broken.filter(F.col("position").isin(numbers)).select(
-            F.col("position").alias("at"), F.col("key").alias("of"), F.lit(True).alias("breaks")
-        )
-        same = (F.col("position") == F.col("at")) & F.col("key").eqNullSafe(F.col("of"))
-        out = out.join(keys, same, "left").filter(F.col("breaks") | ~F.col("position").isin(numbers))
-    number = F.row_number().over(Window.partitionBy("position").orderBy(*places))
-    return out.withColumn("sample_no", number).filter(F.col("sample_no") <= SAMPLE).select("position", "record", "sample_no")
+        rare = store(keys.join(F.broadcast(limits), "position", "left_anti"), "rare-keys")
+        by_row = ~F.col("position").isin(keyed)
+        rows = _flagged(rows, rare, "rare").filter(by_row | F.col("limit").isNotNull() | F.col("rare"))
+        rows = _flagged(rows, keys.join(F.broadcast(limits), "position", "left_semi"), "frequent")
+        rows = rows.filter(by_row | F.col("rare") | F.col("frequent"))
+    return _numbered(rows).filter(F.col("sample_no") <= SAMPLE).select("position", "record", "sample_no")
+
+
+def _repeatable(df: DataFrame) -> bool:
+    """Whether every scan gives a row the same values, as far as Spark knows."""
+    return df._jdf.queryExecution().analyzed().deterministic()
 
 
 def run_rules(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Sequence[str] = ()) -> DataFrame:
@@ -221,7 +267,7 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], record: str, order_by: Seque
 
     ``sample_ids`` lists the first ten violating records in ``order_by`` order (default: the order of the file if
     the rows carry their position, else record order), followed by an ellipsis when there are more. A NULL key is a key
-    like others under a uniqueness rule and unknown under a reference rule. The first scan runs at once.
+    like others under a uniqueness rule and unknown under a reference rule. The first scan and the limits run at once.
     """
     names = [F.struct(F.lit(i).alias("position"), F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)]
     catalogue = df.sparkSession.range(1).select(F.inline(F.array(*names)))
