@@ -115,3 +115,33 @@ def test_signatures_never_rule_out_a_link():
                     assert kept[i] and kept[j]
     far = [np.unique(rng.integers(0, 2**63, 1450).astype(np.uint64)) for _ in range(4)]
     assert not jaccard.may_be_linked(np.array([len(s) for s in far]), [jaccard.signature(s) for s in far], rule).any()
+
+
+def clusters(seed):
+    """Near copies of three texts, all with one line in common, some too far from most others to be linked with them."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(3):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([90, 100]))]
+        rows += [" ".join(["one", "common", "line", "of", "words", "here", *edited(rng, base, rng.randint(0, 7))]) for _ in range(70)]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("divided", [0, 20_000_000_000])
+def test_large_clusters_take_two_rounds(spark, monkeypatch, divided):
+    """Regions of near copies are not divided again and again: what is one component already is not compared any more."""
+    monkeypatch.setattr(jaccard, "LEAF_DOCUMENTS", 20)
+    monkeypatch.setattr(jaccard, "PRUNED", 10)
+    monkeypatch.setattr(jaccard, "DIVIDED", divided, raising=False)
+    rounds, measure = [], jaccard.distances
+
+    def counted(*a):
+        rounds.append(1)
+        assert len(rounds) <= 2
+        return measure(*a)
+
+    monkeypatch.setattr(jaccard, "distances", counted)
+    rows, rule = clusters(3), jaccard.Rule()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(jaccard.near_duplicates(df, rule)) == brute_force(rows, rule)
+    assert len(rounds) == (1 if divided else 2)

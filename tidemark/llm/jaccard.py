@@ -11,9 +11,12 @@ be linked to another one of the region, and its distance to the pivot is compute
 * In a region, members within ``r`` of the pivot are linked to it and to each other's component. Only members
   beyond ``r`` are open, and they can be linked only to members whose distance to the pivot differs by at most
   ``r`` (triangle inequality); those boundary members stay with them.
-* What is open forms a smaller region without its pivot, and is joined by the same rule: a small region pivot
-  after pivot in one task, a large one divided again by Spark, with shingles ordered by how many of *its*
-  members have them.
+* Links found so far are contracted to components. Members of the pivot's component are done with each other, and a
+  region of one component is done as a whole; only members of other components are open.
+* What is open forms a smaller region without its pivot: a small one is joined pivot after pivot in one task, a large
+  one in blocks, every block of open members with every block of the region. One whose blocks would cost too much is
+  divided again by Spark, once, with shingles ordered by how many of *its* members have them; what shares a shingle
+  with its own component only is left out.
 
 All copies of one set are one node. Sets stay with their documents until a region needs them.
 """
@@ -41,6 +44,8 @@ FREQUENT_IN_BATCH = 8
 # A region of at most so many documents and shingles is joined in one task.
 LEAF_DOCUMENTS = 2_000
 LEAF_SHINGLES = 1_000_000
+# A large region whose open members have so many shingles of others to be compared with is divided before it is joined.
+DIVIDED = 20_000_000_000
 # Regions of up to so many members are thinned by signatures before sets are moved.
 PRUNED = 3_000
 MIN_BITS = 512
@@ -250,17 +255,17 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, carried: str, rule: Rule) -
     return map_batches(joined, work, f"node bigint, members array<bigint>, {carried} {kind}")
 
 
-def regions(keys: DataFrame, rule: Rule) -> DataFrame:
-    """(region, pivot, node, n) from (region, key, node, n): a region for every pivot that a shared key names.
+def regions(keys: DataFrame, rule: Rule, label: str = "node") -> DataFrame:
+    """(region, pivot, node, n) from (region, key, node, n, label): a region for every pivot that a shared key names.
 
-    Keys of one node only are dropped by an aggregate with map-side combining; the pivot of a key is the node
-    with most shared keys. Linked sizes differ by a factor of at most ``per / share``, one size class: a node
+    Keys of one label only, the same component or the same node, are dropped by an aggregate with map-side combining;
+    the pivot of a key is the node with most shared keys. Linked sizes differ by a factor of at most ``per / share``, one size class: a node
     stands in its own class and the next, and keys name pivots class by class. No group is ever listed.
     """
-    by = ["region", "key"]
-    shared = keys.groupBy(*by).agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    by, two = ["region", "key"], [F.min(label).alias("low"), F.max(label).alias("high")]
+    shared = keys.groupBy(*by).agg(*two).where("low <> high")
     # Aggregates are written before they are joined: a join of two plain exchanges lets Spark split hot keys.
-    members = keys.join(store(shared.select(*by), "shared"), by).select(*by, "node", "n").distinct()
+    members = keys.join(store(shared.select(*by), "shared"), by).select(*by, *dict.fromkeys(["node", "n", label])).distinct()
     width = math.log(rule.per / rule.share) + 1e-6
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
     members = store(members.select("*", F.explode(F.array(own, own + 1)).alias("class")), "members")
@@ -268,7 +273,7 @@ def regions(keys: DataFrame, rule: Rule) -> DataFrame:
     ranked = members.join(central, ["region", "node"])
     named = (
         ranked.groupBy(*by, "class")
-        .agg(F.max(F.struct("links", "node")).alias("best"), F.min("node").alias("low"), F.max("node").alias("high"))
+        .agg(F.max(F.struct("links", "node")).alias("best"), *two)
         .where("low <> high")
         .select(*by, "class", F.col("best.node").alias("pivot"))
     )
@@ -300,21 +305,33 @@ def distances(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def still_open(measured: DataFrame, rule: Rule) -> DataFrame:
-    """(region, node, n, linked, large) of the members that may be linked to an open one of their region.
+def still_open(measured: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """(region, node, n, label, open, count, total, opens, weight) of the members that may be linked to an open one.
 
-    ``large`` tells regions that one task should not join.
+    ``label`` is the component by the links so far; open is what is not in the pivot's. The last four tell of the region
+    how many members and shingles it has, and how many of its open members.
     """
-    opened = measured.where("not linked").groupBy("region").agg(F.min("distance").alias("nearest"))
-    near = measured.join(store(opened, "opened"), "region").where(
-        ~F.col("linked") | (F.col("distance") >= F.col("nearest") - F.lit(rule.radius + SLACK))
+    own = measured.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    home = labels.select(F.col("node").alias("pivot"), F.col("label").alias("home"))
+    named = own.join(home, "pivot", "left").withColumn("open", F.col("label") != F.coalesce("home", "pivot"))
+    named = store(named.select("region", "node", "n", "distance", "label", "open"), "labelled")
+    opened = named.where("open").groupBy("region").agg(F.min("distance").alias("nearest"), F.max("distance").alias("farthest"))
+    reach = F.lit(rule.radius + SLACK)
+    within = F.col("distance").between(F.col("nearest") - reach, F.col("farthest") + reach)
+    near = named.join(store(opened, "opened"), "region").where(F.col("open") | within)
+    near = store(near.select("region", "node", "n", "label", "open"), "open")
+    sizes = near.groupBy("region").agg(
+        F.count("*").alias("count"),
+        F.sum("n").alias("total"),
+        F.count_if("open").alias("opens"),
+        F.sum(F.when(F.col("open"), F.col("n"))).alias("weight"),
     )
-    near = store(near.select("region", "node", "n", "linked"), "open")
-    return near.join(store(sized(near), "sizes"), "region")
+    return near.join(store(sizes.where("count > 1"), "sizes"), "region")
 
 
-def leaf(nodes: np.ndarray, members: list[np.ndarray], done: np.ndarray, first: int, rule: Rule) -> list[tuple[int, int]]:
-    """Links that connect what is linked in one small region; members that are ``done`` are one component already.
+def leaf(nodes: np.ndarray, members: list[np.ndarray], part: np.ndarray, done: np.ndarray, first: int, rule: Rule) -> list[tuple[int, int]]:
+    """Links that connect what is linked in one small region and not in one ``part`` yet; pairs of members that are
+    ``done`` are left out.
 
     The first pivot orders the members by their distance to it; every later pivot is compared with the members
     of its window only.
@@ -336,7 +353,7 @@ def leaf(nodes: np.ndarray, members: list[np.ndarray], done: np.ndarray, first:
     codes = np.concatenate([codes[at[i] : at[i + 1]] for i in order])
     nodes, sizes, done, distance = nodes[order], sizes[order], done[order], distance[order]
     at = np.concatenate(([0], np.cumsum(sizes)))
-    part = np.where(done, -1, np.arange(len(nodes)))
+    part = np.unique(part, return_inverse=True)[1][order]
     links = []
     for i in range(len(nodes)):
         if done[i]:
@@ -357,30 +374,57 @@ def leaf(nodes: np.ndarray, members: list[np.ndarray], done: np.ndarray, first:
 
 
 def leaf_links(small: DataFrame, rule: Rule) -> DataFrame:
-    """Links (node, other) of small regions, from (region, pivot, node, linked, members); a region in one task."""
+    """Links (node, other) of small regions, from (region, pivot, node, label, members); a region in one task."""
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
-        nodes = group["node"].to_numpy()
+        nodes, label = group["node"].to_numpy(), group["label"].to_numpy()
         first = int(np.argmax(nodes == group["pivot"].iloc[0]))
-        links = leaf(nodes, group["members"].to_list(), group["linked"].to_numpy(), first, rule)
+        # Members of the largest component need not be compared with each other.
+        names, n = np.unique(label, return_counts=True)
+        links = leaf(nodes, group["members"].to_list(), label, label == names[n.argmax()], first, rule)
         return pd.DataFrame(links, columns=["node", "other"], dtype="int64")
 
     return small.groupBy("region").applyInPandas(join, "node bigint, other bigint")
 
 
+def block_links(large: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Links (node, other) of large regions, from rows of ``still_open``: every block of a region's open members meets
+    every block of its members in a task of its own, of at most about as much as a small region holds."""
+
+    def blocks(count: str, total: str):
+        return F.greatest(F.ceil(2 * F.col(count) / F.lit(LEAF_DOCUMENTS)), F.ceil(2 * F.col(total) / F.lit(LEAF_SHINGLES)))
+
+    cut = large.withColumn("blocks", blocks("count", "total")).withColumn("turns", blocks("opens", "weight"))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), "turns"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1))
+    around = cut.withColumn("turn", every).withColumn("done", F.lit(True))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    pivots = cut.where("open").withColumn("block", every).withColumn("done", F.lit(False))
+    names = ["region", "turn", "block", "node", "label", "done"]
+    placed = around.select(*names).unionByName(pivots.select(*names)).join(sets, "node")
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        done = group["done"].to_numpy()
+        links = []
+        if not done.all():
+            links = leaf(group["node"].to_numpy(), group["members"].to_list(), group["label"].to_numpy(), done, 0, rule)
+        return pd.DataFrame(links, columns=["node", "other"], dtype="int64")
+
+    return placed.groupBy("region", "turn", "block").applyInPandas(join, "node bigint, other bigint")
+
+
 def local_keys(near: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """(region, key, node, n) of the prefixes of large regions, shingles of few members of the region first."""
-    every = (
-        near.where("large").select("region", "node", "n").join(sets, "node").select("region", "node", "n", F.explode("members").alias("key"))
-    )
+    """(region, key, node, n, label) of the prefixes of regions, shingles of few members of the region first."""
+    names = ["region", "node", "n", "label"]
+    every = near.select(*names).join(sets, "node").select(*names, F.explode("members").alias("key"))
     often = every.groupBy("region", "key").agg(F.count("*").alias("often"))
-    ordered = every.join(store(often, "often"), ["region", "key"]).groupBy("region", "node", "n").agg(
+    ordered = every.join(store(often, "often"), ["region", "key"]).groupBy(*names).agg(
         F.sort_array(F.collect_list(F.struct("often", "key"))).alias("all")
     )
     length = (F.col("n") - F.ceil(F.col("n") * F.lit(rule.share) / F.lit(rule.per)) + 1).cast("int")
-    return ordered.select("region", "node", "n", F.explode(F.slice("all", F.lit(1), length)).alias("one")).select(
-        "region", "one.key", "node", "n"
+    return ordered.select(*names, F.explode(F.slice("all", F.lit(1), length)).alias("one")).select(
+        "region", "one.key", "node", "n", "label"
     )
 
 
@@ -401,7 +445,7 @@ def links(described_: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     homes = found.where("not large").groupBy("node").agg(F.collect_list(F.struct("region", "pivot")).alias("homes"))
     placed = shingle_sets(docs, ids.join(homes, "node"), "homes", rule)
     placed = placed.select("node", "members", F.explode("homes").alias("home")).select(
-        "home.region", "home.pivot", "node", F.lit(False).alias("linked"), "members"
+        "home.region", "home.pivot", "node", F.col("node").alias("label"), "members"
     )
     parts = [store(leaf_links(placed, rule), "leaf")]
     found = found.where("large")
@@ -409,13 +453,20 @@ def links(described_: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
         named = found.select("node").unionByName(found.select(F.col("pivot").alias("node"))).distinct()
         wanted = ids.join(named, "node").withColumn("any", F.lit(True))
         sets = store(shingle_sets(docs, wanted, "any", rule).select("node", "members"), "sets").dropDuplicates(["node"])
-    while not found.isEmpty():
+    small = (F.col("count") <= LEAF_DOCUMENTS) & (F.col("total") <= LEAF_SHINGLES)
+    for turn in range(2):
+        if found.isEmpty():
+            break
         measured = store(distances(found, sets, rule), "distances")
         parts.append(measured.where("linked").select("node", F.col("pivot").alias("other")))
-        near = store(still_open(measured, rule), "near")
-        small = near.where("not large").join(sets, "node").withColumn("pivot", F.col("node"))
-        parts.append(store(leaf_links(small.select("region", "pivot", "node", "linked", "members"), rule), "leaf"))
-        found = store(regions(local_keys(near, sets, rule), rule), "regions")
+        near = store(still_open(measured, components(reduce(DataFrame.unionByName, parts)), rule), "near")
+        heavy = ~small & (F.col("opens").cast("double") * F.col("total") > DIVIDED) if turn == 0 else F.lit(False)
+        few = near.where(small).join(sets, "node").withColumn("pivot", F.col("node"))
+        parts.append(store(leaf_links(few.select("region", "pivot", "node", "label", "members"), rule), "leaf"))
+        parts.append(store(block_links(near.where(~small & ~heavy), sets, rule), "blocks"))
+        if turn == 0:
+            near = near.where(heavy)
+            found = near if near.isEmpty() else store(regions(local_keys(near, sets, rule), rule, "label"), "regions")
     return reduce(DataFrame.unionByName, parts)
 
 
