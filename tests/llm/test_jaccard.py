@@ -145,3 +145,11 @@ def test_large_clusters_take_two_rounds(spark, monkeypatch, divided):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(jaccard.near_duplicates(df, rule)) == brute_force(rows, rule)
     assert len(rounds) == (1 if divided else 2)
+
+
+def test_bitmap_has_every_id_in_few_rows(spark):
+    found = jaccard.bitmap(spark.range(0, 60_000).withColumnRenamed("id", "doc_id")).collect()
+    bits = {64 * (r.block * jaccard.WORDS + i) + j for r in found for i, w in enumerate(r.words) for j in range(64) if w >> j & 1}
+    ids = spark.range(0, 60_000).selectExpr(f"pmod(xxhash64(id), {jaccard.BITS}) as bit").collect()
+    assert bits == {r.bit for r in ids}
+    assert len(found) <= jaccard.BITS // 1024

@@ -52,6 +52,7 @@ MIN_BITS = 512
 SLACK = 1e-9
 # Bits of the filter that keeps texts of other documents where they are, and the key of rows without an id.
 BITS = 1 << 25
+WORDS = 16
 NO_ID = -(2**63)
 
 
@@ -83,10 +84,12 @@ def frequent_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
     sums = docs.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = sums.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    least = min((r.n for r in rows), default=1).bit_length()
-    pairs = sorted((r.word & (2**64 - 1), r.n.bit_length() - least + 1) for r in rows)
-    return np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.uint64)
+    # Stored, because a collected limit sends that many rows of every task to the driver.
+    rows = store(sums.orderBy(F.desc("n"), "word").limit(FREQUENT), "frequent").toArrow()
+    words, n = rows.column("word").to_numpy().view(np.uint64), rows.column("n").to_pylist()
+    least = min(n, default=1).bit_length()
+    order = np.argsort(words)
+    return words[order], np.array([v.bit_length() - least + 1 for v in n], np.uint64)[order]
 
 
 def weights(words: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -222,10 +225,17 @@ def described(docs: DataFrame, rule: Rule, frequent: tuple[np.ndarray, np.ndarra
 
 
 def bitmap(ids: DataFrame) -> DataFrame:
-    """(word, bits): a bit for the hash of every ``doc_id``, 64 in a row; ``BITS / 64`` rows at most, however many ids."""
+    """(block, words): a bit for the hash of every ``doc_id``, 64 in a word, ``WORDS`` words in a row, so that the driver
+    and the executors hold few rows; ``BITS / 64 / WORDS`` of them at most, however many ids."""
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
-    rows = ids.select(bit.alias("bit")).selectExpr("shiftright(bit, 6) as word", "shiftleft(1L, cast(bit & 63 as int)) as bits")
-    return rows.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    rows = ids.select(bit.alias("bit")).select(
+        F.expr(f"bit div {64 * WORDS}").alias("block"),
+        F.expr(f"shiftright(bit, 6) % {WORDS}").alias("word"),
+        F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("bits"),
+    )
+    words = [F.bit_or(F.when(F.col("word") == i, F.col("bits"))).alias(f"w{i}") for i in range(WORDS)]
+    sums = rows.groupBy("block").agg(*words)
+    return sums.select("block", F.array(*[F.coalesce(f"w{i}", F.lit(0)) for i in range(WORDS)]).alias("words"))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, carried: str, rule: Rule) -> DataFrame:
@@ -239,8 +249,9 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, carried: str, rule: Rule) -
     keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text").withColumn(
         "bit", F.pmod(F.xxhash64("key"), F.lit(BITS))
     )
-    maybe = keyed.withColumn("word", F.shiftright("bit", 6)).join(bits, "word")
-    maybe = maybe.where(F.expr("bits & shiftleft(1L, cast(bit & 63 as int)) <> 0")).select("key", "text")
+    maybe = keyed.withColumn("block", F.expr(f"bit div {64 * WORDS}")).join(bits, "block")
+    word = f"get(words, cast(shiftright(bit, 6) % {WORDS} as int))"
+    maybe = maybe.where(F.expr(f"{word} & shiftleft(1L, cast(bit & 63 as int)) <> 0")).select("key", "text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, at = hash_words(texts(batch))
